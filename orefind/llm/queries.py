@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orefind.llm import mixing, terms, tokens
+from orefind.llm import garbled, mixing, terms, tokens
 
 
 def _table(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -30,6 +30,16 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return rows.filter("mark is not null").select("field_name", "term", "mark")
 
 
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    """Rows whose contents show characters of a wrong decoding."""
+    return garbled.repair_text(_table(spark, d, "stored_docs"), "doc_no", "contents").filter("garbled").select("doc_no")
+
+
+def p7_restored(spark: SparkSession, d: str) -> DataFrame:
+    """The affected rows with their restored text."""
+    return garbled.repair_text(_table(spark, d, "stored_docs"), "doc_no", "contents").filter("garbled").select("doc_no", "restored")
+
+
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     """The ids of every document."""
     return tokens.encode_corpus(_table(spark, d, "documents"), "doc_id", "text")
@@ -59,7 +69,7 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixing.mixture_shares(mixing.mixture(sizes, targets, "doc_id"), mixing.source_report(sizes, targets))
 
 
-_QUERIES = (p4_found, p4_scores, p6_found, p8_ids, p9_found, p9_mixture, p9_shares)
+_QUERIES = (p4_found, p4_scores, p6_found, p7_found, p7_restored, p8_ids, p9_found, p9_mixture, p9_shares)
 
 
 def queries() -> dict:
