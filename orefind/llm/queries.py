@@ -5,13 +5,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orefind.llm import garbled, mixing, terms, tokens
+from orefind.llm import garbled, mixing, neardup, terms, tokens
+from orefind.sources.shared import written
 
 
 def _table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
+def _similar(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    return neardup.similar_classes(_table(spark, d, "stored_docs"), "doc_no", "contents")
+
+
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    """Pairs of rows of at least 30 words each and a similarity of at least 0.8."""
+    return neardup.similar_pairs(*_similar(spark, d)).select(F.col("id_a").alias("doc_no_a"), F.col("id_b").alias("doc_no_b"))
+
+
+def p2_groups(spark: SparkSession, d: str) -> DataFrame:
+    """Each row's class of equal texts, its number of links to other classes, and the group that the links form."""
+    members, links = _similar(spark, d)
+    members, links = written(members, "members"), written(links, "links")
+    counts = links.select(F.explode(F.array("a", "b")).alias("class")).groupBy("class").agg(F.count("*").alias("links"))
+    rows = neardup.groups(members, links).join(counts, "class", "left")
+    return rows.select(F.col("id").alias("doc_no"), F.col("class").alias("class_no"), F.col("group").alias("group_no"), F.coalesce("links", F.lit(0)).alias("links"))
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     """Terms that occur at least 4 times in a row's contents and in those of 2 to 6 rows."""
     return terms.distinctive_terms(_table(spark, d, "stored_docs"), "doc_no", "contents", min_tf=4, records=(2, 6)).select("doc_no", "term")
@@ -56,20 +75,16 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p9_mixture(spark: SparkSession, d: str) -> DataFrame:
     """The mixture: each record's number of copies."""
-    from orefind.sources.shared import written
-
     return mixing.mixture(written(_sizes(spark, d), "sizes"), _table(spark, d, "mix_targets"), "doc_id")
 
 
 def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     """Target and actual shares of the mixture."""
-    from orefind.sources.shared import written
-
     sizes, targets = written(_sizes(spark, d), "sizes"), _table(spark, d, "mix_targets")
     return mixing.mixture_shares(mixing.mixture(sizes, targets, "doc_id"), mixing.source_report(sizes, targets))
 
 
-_QUERIES = (p4_found, p4_scores, p6_found, p7_found, p7_restored, p8_ids, p9_found, p9_mixture, p9_shares)
+_QUERIES = (p2_found, p2_groups, p4_found, p4_scores, p6_found, p7_found, p7_restored, p8_ids, p9_found, p9_mixture, p9_shares)
 
 
 def queries() -> dict:
