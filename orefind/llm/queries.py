@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orefind.llm import garbled, mixing, neardup, terms, tokens
+from orefind.llm import garbled, markup, mixing, neardup, terms, tokens
 from orefind.sources.shared import written
 
 
@@ -31,6 +31,16 @@ def p2_groups(spark: SparkSession, d: str) -> DataFrame:
     return rows.select(F.col("id").alias("doc_no"), F.col("class").alias("class_no"), F.col("group").alias("group_no"), F.coalesce("links", F.lit(0)).alias("links"))
 
 
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    """Rows and the families of markup that their contents hold."""
+    return markup.clean_markup(_table(spark, d, "stored_docs"), "doc_no", "contents").select("doc_no", F.explode("markup").alias("markup"))
+
+
+def p3_clean(spark: SparkSession, d: str) -> DataFrame:
+    """Every row's contents without markup, as blocks and as text."""
+    return markup.clean_markup(_table(spark, d, "stored_docs"), "doc_no", "contents").select("doc_no", "blocks", "clean")
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     """Terms that occur at least 4 times in a row's contents and in those of 2 to 6 rows."""
     return terms.distinctive_terms(_table(spark, d, "stored_docs"), "doc_no", "contents", min_tf=4, records=(2, 6)).select("doc_no", "term")
@@ -84,7 +94,7 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixing.mixture_shares(mixing.mixture(sizes, targets, "doc_id"), mixing.source_report(sizes, targets))
 
 
-_QUERIES = (p2_found, p2_groups, p4_found, p4_scores, p6_found, p7_found, p7_restored, p8_ids, p9_found, p9_mixture, p9_shares)
+_QUERIES = (p2_found, p2_groups, p3_found, p3_clean, p4_found, p4_scores, p6_found, p7_found, p7_restored, p8_ids, p9_found, p9_mixture, p9_shares)
 
 
 def queries() -> dict:
