@@ -29,6 +29,9 @@ BUCKETS = 1 << 18
 # Records in one block of a list.
 HOT = 50_000
 _PAIRS = 1 << 20
+# Counts of a record's words in 64 buckets, up to 15 each, four bits a bucket: how far two records' counts are apart bounds how far their words are.
+_SKETCH = ("s1", "s2", "s3", "s4")
+_KINDS = ", ".join(f"{c} bigint" for c in _SKETCH)
 _U = np.uint64
 
 
@@ -86,7 +89,7 @@ def _list_lengths(least: int):
 
 
 def _records(least: int, num: int, den: int, lengths):
-    """One row a record: id, its bag's two fingerprints, n, its short lists in order of length, two halves of the sketch."""
+    """One row a record: id, its bag's two fingerprints, n, its short lists in order of length, its sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         df, met = lengths.value, set()
@@ -98,7 +101,8 @@ def _records(least: int, num: int, den: int, lengths):
                 continue
             with np.errstate(over="ignore"):
                 prints = [np.add.reduceat(_mixed(element ^ _U(s)), starts).view(np.int64) for s in (0x51ED270B, 0xA24BAED4963EE407)]
-            sketch = np.minimum(np.bincount(owner * 16 + (word >> _U(60)).astype(np.int64), minlength=count * 16), 255).astype(np.uint8).reshape(count, 16).view(np.int64)
+            counts = np.minimum(np.bincount(owner * 64 + (_mixed(word) >> _U(58)).astype(np.int64), minlength=count * 64), 15).astype(np.uint8).reshape(count, 64)
+            sketch = np.ascontiguousarray(counts[:, :32] | (counts[:, 32:] << 4)).view(np.int64)
             length = df[(element % _U(BUCKETS)).astype(np.int64)]
             order = np.lexsort((element, length, owner))
             place = np.arange(len(order)) - np.repeat(starts, sizes)
@@ -108,8 +112,8 @@ def _records(least: int, num: int, den: int, lengths):
             offsets = np.concatenate(([0], np.cumsum(np.bincount(owner[short], minlength=count)))).astype(np.int32)
             lists = pa.ListArray.from_arrays(offsets, pa.array(element[order][short].view(np.int64)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(rows)), pa.array(prints[0]), pa.array(prints[1]), pa.array(sizes), lists, pa.array(first), pa.array(sketch[:, 0]), pa.array(sketch[:, 1])],
-                ["id", "p1", "p2", "n", "lists", "first", "s1", "s2"],
+                [batch.column(0).take(pa.array(rows)), pa.array(prints[0]), pa.array(prints[1]), pa.array(sizes), lists, pa.array(first), *(pa.array(sketch[:, i]) for i in range(4))],
+                ["id", "p1", "p2", "n", "lists", "first", *_SKETCH],
             )
 
     return run
@@ -145,7 +149,7 @@ def _listed(num: int, den: int, lengths):
             with np.errstate(over="ignore"):
                 key = (element[at] + salt * _U(0xD1342543DE82EF95)).view(np.int64)
             who = pa.array(owner[at])
-            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array((n[at] << 32) | (place[at] << 2) | role), batch.column(0).take(who), batch.column(3).take(who), batch.column(4).take(who)], ["list", "entry", "id", "s1", "s2"])
+            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array((n[at] << 32) | (place[at] << 2) | role), batch.column(0).take(who), *(batch.column(3 + i).take(who) for i in range(4))], ["list", "entry", "id", *_SKETCH])
 
     return run
 
@@ -154,14 +158,14 @@ def _met(num: int, den: int):
     """Merges the lists of a partition, sorted by list and size, into candidate pairs."""
 
     def merge(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        key, entry, who, s1, s2 = rows
+        key, entry, who, *sketches = rows
         group = np.concatenate(([0], np.cumsum(key[1:] != key[:-1])))
         n, place, role = entry >> 32, (entry >> 2) & 0x3FFFFFFF, entry & 3
         index, probe = np.flatnonzero(role & 1), np.flatnonzero(role & 2)
         at = (group[index] << 32) + n[index]
         low = np.searchsorted(at, (group[probe] << 32) + (num * n[probe] + den - 1) // den)
         many = np.searchsorted(at, (group[probe] << 32) + n[probe], "right") - low
-        sketch = np.stack((s1, s2), 1).view(np.uint8)
+        sketch = np.stack(sketches, 1).view(np.uint8)
         ends = np.cumsum(many)
         start = 0
         while start < len(probe):
@@ -173,9 +177,13 @@ def _met(num: int, den: int):
             need = (num * (n[a] + n[b]) + num + den - 1) // (num + den)
             keep = (1 + np.minimum(n[a] - place[a], n[b] - place[b]) - 1 >= need) & (who[a] != who[b])
             a, b, need = a[keep], b[keep], need[keep]
-            apart = np.abs(sketch[a].astype(np.int16) - sketch[b]).sum(1)
-            keep = apart <= n[a] + n[b] - 2 * need
-            a, b = who[a[keep]], who[b[keep]]
+            spare = n[a] + n[b] - 2 * need
+            for half in (slice(0, 16), slice(16, 32)):  # most are out after the first half
+                p, q = sketch[a, half], sketch[b, half]
+                spare = spare - (np.abs((p & 15).view(np.int8) - (q & 15).view(np.int8)) + np.abs((p >> 4).view(np.int8) - (q >> 4).view(np.int8))).sum(1, dtype=np.int64)
+                keep = spare >= 0
+                a, b, spare = a[keep], b[keep], spare[keep]
+            a, b = who[a], who[b]
             if len(a):
                 pairs = np.unique(np.stack((np.minimum(a, b), np.maximum(a, b)), 1), axis=0)
                 yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
@@ -238,13 +246,13 @@ def similar_classes(df: DataFrame, id_col: str, text_col: str, least_words: int
     table = np.zeros(BUCKETS, np.int64)
     table[counted.column(0).to_numpy()] = counted.column(1).to_numpy()
     lengths = spark.sparkContext.broadcast(table)
-    records = written(texts.mapInArrow(_records(least_words, num, den, lengths), "id bigint, p1 bigint, p2 bigint, n bigint, lists array<bigint>, first boolean, s1 bigint, s2 bigint"), "records")
+    records = written(texts.mapInArrow(_records(least_words, num, den, lengths), f"id bigint, p1 bigint, p2 bigint, n bigint, lists array<bigint>, first boolean, {_KINDS}"), "records")
     # the class is named by its smallest id, and looked up by the smallest of those that carry its lists
     by_print = records.groupBy("p1", "p2").agg(F.min("id").alias("class"), F.min(F.when(F.col("first"), F.col("id"))).alias("speaker"))
     by_print = written(by_print, "classes")
     members = records.select("id", "p1", "p2").join(by_print.select("p1", "p2", "class"), ["p1", "p2"]).select("id", "class")
-    speakers = records.filter("first").select("id", "n", "lists", "s1", "s2").join(by_print.select(F.col("speaker").alias("id")), "id", "left_semi")
-    listed = speakers.mapInArrow(_listed(num, den, lengths), "list bigint, entry bigint, id bigint, s1 bigint, s2 bigint")
+    speakers = records.filter("first").select("id", "n", "lists", *_SKETCH).join(by_print.select(F.col("speaker").alias("id")), "id", "left_semi")
+    listed = speakers.mapInArrow(_listed(num, den, lengths), f"list bigint, entry bigint, id bigint, {_KINDS}")
     met = listed.repartition("list").sortWithinPartitions("list", "entry").mapInArrow(_met(num, den), "a bigint, b bigint")
     met = written(met.distinct(), "candidates")
     asked = met.select(F.col("a").alias("id")).union(met.select("b")).distinct()
