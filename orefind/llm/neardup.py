@@ -29,8 +29,9 @@ BUCKETS = 1 << 18
 # Records in one block of a list.
 HOT = 50_000
 _PAIRS = 1 << 20
-# Counts of a record's words in 64 buckets, up to 15 each, four bits a bucket: how far two records' counts are apart bounds how far their words are.
-_SKETCH = ("s1", "s2", "s3", "s4")
+# Counts of a record's words in 128 buckets, up to 15 each, four bits a bucket: how far two records' counts are apart bounds how
+# far their words are. Every four occurrences of a word have a bucket of their own, or frequent words would fill theirs.
+_SKETCH = tuple(f"s{i}" for i in range(8))
 _KINDS = ", ".join(f"{c} bigint" for c in _SKETCH)
 _U = np.uint64
 
@@ -48,7 +49,7 @@ def words_of(text: str) -> list[str]:
 
 
 def _elements(texts: list[str | None], least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of the texts of at least ``least`` words: their places, sizes, and the hashes of all their elements and of these' words, text after text."""
+    """Of the texts of at least ``least`` words: their places, sizes, and hashes of all their elements and of every four elements of a word, text after text."""
     rows, sizes, words = [], [], []
     for i, t in enumerate(texts):
         if t is not None and len(w := words_of(t)) >= least:
@@ -67,7 +68,7 @@ def _elements(texts: list[str | None], least: int) -> tuple[np.ndarray, np.ndarr
     seen = at - np.maximum.accumulate(np.where(new, at, 0))
     word = of_word[key % len(distinct)]
     with np.errstate(over="ignore"):
-        return np.array(rows, dtype=np.int64), sizes, _mixed(word + seen.astype(_U) * _U(0x9E3779B97F4A7C15)), word
+        return np.array(rows, dtype=np.int64), sizes, _mixed(word + seen.astype(_U) * _U(0x9E3779B97F4A7C15)), _mixed(word + (seen >> 2).astype(_U) * _U(0xC2B2AE3D27D4EB4F))
 
 
 def _slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
@@ -101,8 +102,8 @@ def _records(least: int, num: int, den: int, lengths):
                 continue
             with np.errstate(over="ignore"):
                 prints = [np.add.reduceat(_mixed(element ^ _U(s)), starts).view(np.int64) for s in (0x51ED270B, 0xA24BAED4963EE407)]
-            counts = np.minimum(np.bincount(owner * 64 + (_mixed(word) >> _U(58)).astype(np.int64), minlength=count * 64), 15).astype(np.uint8).reshape(count, 64)
-            sketch = np.ascontiguousarray(counts[:, :32] | (counts[:, 32:] << 4)).view(np.int64)
+            counts = np.minimum(np.bincount(owner * 128 + (word >> _U(57)).astype(np.int64), minlength=count * 128), 15).astype(np.uint8).reshape(count, 128)
+            sketch = np.ascontiguousarray(counts[:, :64] | (counts[:, 64:] << 4)).view(np.int64)
             length = df[(element % _U(BUCKETS)).astype(np.int64)]
             order = np.lexsort((element, length, owner))
             place = np.arange(len(order)) - np.repeat(starts, sizes)
@@ -112,7 +113,7 @@ def _records(least: int, num: int, den: int, lengths):
             offsets = np.concatenate(([0], np.cumsum(np.bincount(owner[short], minlength=count)))).astype(np.int32)
             lists = pa.ListArray.from_arrays(offsets, pa.array(element[order][short].view(np.int64)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(rows)), pa.array(prints[0]), pa.array(prints[1]), pa.array(sizes), lists, pa.array(first), *(pa.array(sketch[:, i]) for i in range(4))],
+                [batch.column(0).take(pa.array(rows)), pa.array(prints[0]), pa.array(prints[1]), pa.array(sizes), lists, pa.array(first), *(pa.array(sketch[:, i]) for i in range(len(_SKETCH)))],
                 ["id", "p1", "p2", "n", "lists", "first", *_SKETCH],
             )
 
@@ -149,7 +150,7 @@ def _listed(num: int, den: int, lengths):
             with np.errstate(over="ignore"):
                 key = (element[at] + salt * _U(0xD1342543DE82EF95)).view(np.int64)
             who = pa.array(owner[at])
-            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array((n[at] << 32) | (place[at] << 2) | role), batch.column(0).take(who), *(batch.column(3 + i).take(who) for i in range(4))], ["list", "entry", "id", *_SKETCH])
+            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array((n[at] << 32) | (place[at] << 2) | role), batch.column(0).take(who), *(batch.column(3 + i).take(who) for i in range(len(_SKETCH)))], ["list", "entry", "id", *_SKETCH])
 
     return run
 
@@ -178,8 +179,8 @@ def _met(num: int, den: int):
             keep = (1 + np.minimum(n[a] - place[a], n[b] - place[b]) - 1 >= need) & (who[a] != who[b])
             a, b, need = a[keep], b[keep], need[keep]
             spare = n[a] + n[b] - 2 * need
-            for half in (slice(0, 16), slice(16, 32)):  # most are out after the first half
-                p, q = sketch[a, half], sketch[b, half]
+            for part in range(0, 64, 16):  # most are out after the first part
+                p, q = sketch[a, part : part + 16], sketch[b, part : part + 16]
                 spare = spare - (np.abs((p & 15).view(np.int8) - (q & 15).view(np.int8)) + np.abs((p >> 4).view(np.int8) - (q >> 4).view(np.int8))).sum(1, dtype=np.int64)
                 keep = spare >= 0
                 a, b, spare = a[keep], b[keep], spare[keep]
