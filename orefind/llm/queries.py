@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orefind.llm import garbled, markup, mixing, neardup, terms, tokens
+from orefind.llm import garbled, mainbody, markup, mixing, neardup, terms, tokens
 from orefind.sources.shared import written
 
 
@@ -13,6 +13,16 @@ def _table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    """The lines of web pages that aren't part of their main body."""
+    return mainbody.page_lines(_table(spark, d, "stored_docs"), "doc_no", "contents", "url").filter("not body").select("doc_no", "line_no")
+
+
+def p1_body(spark: SparkSession, d: str) -> DataFrame:
+    """The main body of each web page."""
+    return mainbody.main_body(_table(spark, d, "stored_docs"), "doc_no", "contents", "url")
+
+
 def _similar(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     return neardup.similar_classes(_table(spark, d, "stored_docs"), "doc_no", "contents")
 
@@ -94,7 +104,7 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixing.mixture_shares(mixing.mixture(sizes, targets, "doc_id"), mixing.source_report(sizes, targets))
 
 
-_QUERIES = (p2_found, p2_groups, p3_found, p3_clean, p4_found, p4_scores, p6_found, p7_found, p7_restored, p8_ids, p9_found, p9_mixture, p9_shares)
+_QUERIES = (p1_found, p1_body, p2_found, p2_groups, p3_found, p3_clean, p4_found, p4_scores, p6_found, p7_found, p7_restored, p8_ids, p9_found, p9_mixture, p9_shares)
 
 
 def queries() -> dict:
