@@ -252,7 +252,9 @@ def similar_classes(df: DataFrame, id_col: str, text_col: str, least_words: int
     by_print = records.groupBy("p1", "p2").agg(F.min("id").alias("class"), F.min(F.when(F.col("first"), F.col("id"))).alias("speaker"))
     by_print = written(by_print, "classes")
     members = records.select("id", "p1", "p2").join(by_print.select("p1", "p2", "class"), ["p1", "p2"]).select("id", "class")
-    speakers = records.filter("first").select("id", "n", "lists", *_SKETCH).join(by_print.select(F.col("speaker").alias("id")), "id", "left_semi")
+    # copies met in different parts of the table: few, and all but one are silent
+    silent = records.filter("first").select("id", "p1", "p2").join(by_print.select("p1", "p2", "speaker"), ["p1", "p2"]).filter("id <> speaker").select("id")
+    speakers = records.filter("first").select("id", "n", "lists", *_SKETCH).join(silent, "id", "left_anti")
     listed = speakers.mapInArrow(_listed(num, den, lengths), f"list bigint, entry bigint, id bigint, {_KINDS}")
     met = listed.repartition("list").sortWithinPartitions("list", "entry").mapInArrow(_met(num, den), "a bigint, b bigint")
     met = written(met.distinct(), "candidates")
