@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orefind.llm import garbled, mainbody, markup, mixing, neardup, terms, tokens
+from orefind.llm import garbled, mainbody, markup, mixing, neardup, subjects, terms, tokens
 from orefind.sources.shared import written
 
 
@@ -104,7 +104,12 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixing.mixture_shares(mixing.mixture(sizes, targets, "doc_id"), mixing.source_report(sizes, targets))
 
 
-_QUERIES = (p1_found, p1_body, p2_found, p2_groups, p3_found, p3_clean, p4_found, p4_scores, p6_found, p7_found, p7_restored, p8_ids, p9_found, p9_mixture, p9_shares)
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    """Each document's subject areas."""
+    return subjects.subjects(*(_table(spark, d, t) for t in ("documents", "subject_areas", "subject_labels")), "doc_id", "text", "lang").select("doc_id", "subject")
+
+
+_QUERIES = (p1_found, p1_body, p2_found, p2_groups, p3_found, p3_clean, p4_found, p4_scores, p6_found, p7_found, p7_restored, p8_ids, p9_found, p9_mixture, p9_shares, p10_found)
 
 
 def queries() -> dict:
