@@ -21,6 +21,11 @@ CONTEXT_STOP_WORDS = "the and for with that this are was were has have not but f
 SUMMARY = 200
 
 
+def let(value: Column, then) -> Column:
+    """``then(value)`` with ``value`` worked out once, however often it is used."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
 def language(name: Column) -> Column:
     """The language that a name or code stands for; null gives english, an unknown one itself in lower case."""
     code = F.lower(F.trim(name))
@@ -163,12 +168,12 @@ def host_of(url: Column) -> Column:
 
 def document_uid(path: Column, modified: Column) -> Column:
     """A document's identity: its path with NUL for slashes, and its time of change."""
-    return F.concat(F.translate(path, "/", "\0"), F.lit("\0"), timestamp_text(modified))
+    return F.concat(F.replace(path, F.lit("/"), F.lit("\0")), F.lit("\0"), timestamp_text(modified))
 
 
 def uid_url(uid: Column) -> Column:
     """The path that a document's identity was made of."""
-    return F.regexp_replace(F.translate(uid, "\0", "/"), r"/[^/]*$", "")
+    return F.regexp_replace(F.replace(uid, F.lit("\0"), F.lit("/")), r"/[^/]*$", "")
 
 
 def safe_directory(name: Column) -> Column:

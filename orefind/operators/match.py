@@ -29,8 +29,9 @@ def _tok(name: str) -> Column:
 
 
 def tokenised(docs: DataFrame, fields: tuple[str, ...], language: str | None = "english") -> DataFrame:
-    """``docs`` with a token array for each field."""
-    return docs.withColumns({f"__t_{f}": tokens(F.col(f"`{f}`"), language) for f in fields})
+    """``docs`` with a token array for each field, cut once a row: behind a generator, no filter or projection is merged with the cutting."""
+    cut = F.explode(F.array(F.struct(*(tokens(F.col(f"`{f}`"), language).alias(f) for f in fields)))).alias("__tokens")
+    return docs.select("*", cut).select("*", *(F.col(f"__tokens.`{f}`").alias(f"__t_{f}") for f in fields)).drop("__tokens")
 
 
 def _any(parts: list[Column]) -> Column:

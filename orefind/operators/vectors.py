@@ -9,7 +9,7 @@ from abc import ABC, abstractmethod
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orefind.functions.text import plain_tokens, tfidf_tokens
+from orefind.functions.text import let, plain_tokens, tfidf_tokens
 
 NEIGHBOURS = 100
 DIMENSION = 100
@@ -51,11 +51,14 @@ def hybrid(words: DataFrame, vectors: DataFrame, id_col: str, ratio: float = 0.5
     return both.select(id_col, ((1 - ratio) * F.coalesce("__w", F.lit(0.0)) + ratio * F.coalesce("__v", F.lit(0.0))).alias("score"))
 
 
-def normalised(v: Column) -> Column:
+def normalised(vector: Column) -> Column:
     """A vector of length 1; one that is all but zero has its first entry that isn't 0 made 1 or -1, a zero one stays."""
-    square = dot(v, v)
-    first = F.array_position(F.transform(v, lambda x: x != 0), True)
-    return F.when(square > 1e-6, F.transform(v, lambda x: x / F.sqrt(square))).when(first > 0, F.transform(v, lambda x, i: F.when(i == first - 1, F.signum(x)).otherwise(x))).otherwise(v)
+
+    def made(v: Column) -> Column:
+        first = F.array_position(F.transform(v, lambda x: x != 0), True)
+        return let(F.struct(dot(v, v).alias("q"), first.alias("f")), lambda s: F.when(s["q"] > 1e-6, let(F.sqrt(s["q"]), lambda n: F.transform(v, lambda x: x / n))).when(s["f"] > 0, F.transform(v, lambda x, i: F.when(i == s["f"] - 1, F.signum(x)).otherwise(x))).otherwise(v))
+
+    return let(vector, made)
 
 
 def _count(words: Column, word: str) -> Column:
@@ -90,10 +93,9 @@ class TermWeights(Embedding):
         return 1 + math.log(1 + 10 * i / len(self.words))
 
     def generate(self, text: Column) -> Column:
-        tok = tfidf_tokens(F.coalesce(text, F.lit("")), self.english)
-        raw = F.array(*(_count(tok, w) * self.weight(i) for i, w in enumerate(self.words)))
-        vector = normalised(raw)
-        return F.when(F.exists(vector, lambda x: x != 0), vector).otherwise(F.transform(vector, lambda x, i: F.when(i == 0, F.lit(1e-5)).otherwise(x)))
+        raw = let(tfidf_tokens(F.coalesce(text, F.lit("")), self.english), lambda tok: F.array(*(_count(tok, w) * self.weight(i) for i, w in enumerate(self.words))))
+        trace = lambda v: F.when(F.exists(v, lambda x: x != 0), v).otherwise(F.transform(v, lambda x, i: F.when(i == 0, F.lit(1e-5)).otherwise(x)))
+        return let(normalised(raw), trace)
 
     def save(self, df: DataFrame, path: str) -> None:
         """The vocabulary as lines of word, tab, weight below a line with their number."""
@@ -108,8 +110,7 @@ class Demo(Embedding):
         return len(DEMO_WORDS)
 
     def generate(self, text: Column) -> Column:
-        tok = plain_tokens(F.coalesce(text, F.lit("")))
-        return normalised(F.array(*(_count(tok, w) for w in DEMO_WORDS)))
+        return normalised(let(plain_tokens(F.coalesce(text, F.lit(""))), lambda tok: F.array(*(_count(tok, w) for w in DEMO_WORDS))))
 
 
 def vocabulary_of(docs: DataFrame, text_col: str, size: int = DIMENSION) -> list[str]:

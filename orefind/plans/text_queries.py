@@ -1,2 +1,85 @@
-QUERIES: dict = {}
-ORACLE: dict = {}
+"""Queries on the string functions around documents."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from orefind.functions import text as t
+from orefind.sources.documents import links_of
+from orefind.sources.html import html_fields
+
+
+def _docs(spark: SparkSession, d: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/stored_docs.parquet")
+
+
+def summaries(spark: SparkSession, d: str) -> DataFrame:
+    return _docs(spark, d).select("doc_no", t.summary(F.col("contents")).alias("summary"), F.coalesce(F.length("contents"), F.lit(0)).alias("n"))
+
+
+def extensions(spark: SparkSession, d: str) -> DataFrame:
+    """Files that a filter of extensions lets through."""
+    name = F.coalesce(F.trim("filename"), F.lit(""))
+    return _docs(spark, d).filter(t.extension_allowed(name, ["*.html", ".cfm", "txt", "*."])).select("doc_no", t.extension(name).alias("ext"))
+
+
+def normal_extensions(spark: SparkSession, d: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/search_indexes.parquet").filter("extensions is not null").select("index_no", t.normal_extension(F.col("extensions")).alias("ext"))
+
+
+def stamps(spark: SparkSession, d: str) -> DataFrame:
+    """Times of change as digits, and identities made of them."""
+    uid = t.document_uid(F.col("file_path"), F.col("modified"))
+    return _docs(spark, d).filter("file_path is not null and modified is not null").select("doc_no", t.timestamp_text(F.col("modified")).alias("stamp"), t.uid_url(uid).alias("path"))
+
+
+def urls(spark: SparkSession, d: str) -> DataFrame:
+    rows = _docs(spark, d).filter("url ilike 'http%'")
+    return rows.select("doc_no", t.host_of(F.col("url")).alias("host"), t.directory_of(F.col("url")).alias("folder"))
+
+
+def normal_urls(spark: SparkSession, d: str) -> DataFrame:
+    return _docs(spark, d).filter("url ilike 'http%'").select("doc_no", t.normal_url(F.col("url")).alias("url"))
+
+
+def highlighted(spark: SparkSession, d: str) -> DataFrame:
+    rows = _docs(spark, d).filter("contents is not null")
+    return rows.select("doc_no", t.highlighted(F.col("contents"), F.lit("servers")).alias("marked"))
+
+
+def keyword_lists(spark: SparkSession, d: str) -> DataFrame:
+    """The words of logged searches that passages would be scored by."""
+    rows = spark.read.parquet(f"{d}/search_log.parquet").filter("criteria is not null")
+    return rows.select("search_no", F.array_join(t.context_keywords(F.col("criteria")), " ").alias("words"))
+
+
+def bigrams(spark: SparkSession, d: str) -> DataFrame:
+    rows = spark.read.parquet(f"{d}/documents.parquet").filter("text is not null")
+    return rows.select("doc_id", F.size(t.tokens(F.col("text"), "japanese")).alias("n"))
+
+
+def html_extract(spark: SparkSession, d: str) -> DataFrame:
+    """Title and text of contents read as HTML."""
+    rows = _docs(spark, d).filter("contents like '%</%'")
+    return rows.select("doc_no", html_fields(F.col("contents")).alias("f")).select("doc_no", "f.title", "f.contents")
+
+
+def html_links(spark: SparkSession, d: str) -> DataFrame:
+    rows = _docs(spark, d).filter("contents like '%href%'").select(F.concat(F.lit("https://docs.example/x/"), F.col("doc_no").cast("string")).alias("url"), F.col("contents").alias("html"))
+    return links_of(rows)
+
+
+QUERIES = {f.__name__: f for f in (summaries, extensions, normal_extensions, stamps, urls, normal_urls, highlighted, keyword_lists, bigrams, html_extract, html_links)}
+
+_EXT = r"lower(regexp_extract(regexp_extract(f, '([^/\\]*)$', 1), '\.([^.]+)$', 1))"
+ORACLE = {
+    "summaries": "SELECT doc_no, contents[1:200] AS summary, coalesce(length(contents), 0)::INT AS n FROM stored_docs",
+    "extensions": f"WITH x AS (SELECT doc_no, coalesce(trim(filename, ' '), '') AS f FROM stored_docs) SELECT doc_no, {_EXT} AS ext FROM x WHERE {_EXT} IN ('html', 'cfm', 'txt', '')",
+    "normal_extensions": r"SELECT index_no, lower(regexp_replace(trim(extensions, ' '), '^\*?\.', '')) AS ext FROM search_indexes WHERE extensions IS NOT NULL",
+    "stamps": "SELECT doc_no, strftime(modified, '%Y%m%d%H%M%S') || lpad((epoch_ms(modified) % 1000)::VARCHAR, 3, '0') AS stamp, file_path AS path FROM stored_docs WHERE file_path IS NOT NULL AND modified IS NOT NULL",
+    "urls": r"""WITH x AS (SELECT doc_no, url, regexp_replace(regexp_replace(url, '[?#].*$', ''), '/[^/]*\.[^/]*$', '/') AS c, regexp_extract(url, '^(https?://[^/?#]+)', 1) AS r FROM stored_docs WHERE url ILIKE 'http%')
+SELECT doc_no, lower(regexp_extract(url, '(?i)^https?://([^/?#:]+)', 1)) AS host, regexp_replace(CASE WHEN length(c) < length(r) THEN r ELSE c END, '/+$', '') AS folder FROM x""",
+    "highlighted": "SELECT doc_no, regexp_replace(contents, '(servers)', '<B>\\1</B>', 'gi') AS marked FROM stored_docs WHERE contents IS NOT NULL",
+    "keyword_lists": f"SELECT search_no, array_to_string(list_filter(regexp_split_to_array(lower(criteria), '\\s+'), lambda w: length(w) > 2 AND NOT list_contains({t.CONTEXT_STOP_WORDS!r}, w)), ' ') AS words FROM search_log WHERE criteria IS NOT NULL",
+}

@@ -156,7 +156,7 @@ def files_source(spark: SparkSession, path: str, extensions: list[str] | None =
 def links_of(pages: DataFrame) -> DataFrame:
     """url, link: the absolute addresses that pages (url, html) link to, normalised."""
     href = F.explode(F.regexp_extract_all("html", F.lit(r"(?i)<a\s[^>]*?href\s*=\s*[\"']?([^\"'\s>]+)"), 1))
-    raw = pages.select("url", href.alias("href"))
+    raw = pages.select("url", href.alias("h")).select("url", F.replace("h", F.lit("&amp;"), F.lit("&")).alias("href"))
     root = F.regexp_extract("url", r"^(https?://[^/?#]+)", 1)
     folder = F.regexp_extract("url", r"^(https?://[^/?#]+(?:/[^?#]*/|/)?)", 1)
     link = F.when(F.col("href").rlike("(?i)^https?://"), F.col("href")).when(F.startswith("href", F.lit("//")), F.concat(F.regexp_extract("url", "^(https?:)", 1), "href")).when(F.startswith("href", F.lit("/")), F.concat(root, "href")).when(F.col("href").rlike("^(?:#|[a-zA-Z][a-zA-Z0-9+.-]*:)"), None).otherwise(F.concat(F.regexp_replace(folder, "/*$", "/"), "href"))
