@@ -53,11 +53,17 @@ def _hashed(texts: list[str | None]) -> tuple[list[list[int]], list[list[int]]]:
 
 
 def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in _slices(batches, 2000):
         ids, ends = _hashed(batch.column(1).to_pylist())
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array(ends, pa.list_(pa.int32()))], ["id", "terms", "ends"])
 
 
+def _slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def _rows(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The values of a list column, and the row of each."""
     sizes = np.diff(column.offsets.to_numpy())
@@ -105,17 +111,15 @@ def decomposed(docs: DataFrame, idf: np.ndarray, dimensions: int = DIMENSIONS, p
 
         def through(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             space, whole, any_rows = shared.value, np.zeros((TERMS, width)), False
-            for batch in batches:
-                for at in range(0, batch.num_rows, 500):
-                    rows = batch.slice(at, 500)
-                    term, owner = _rows(rows.column(0))
-                    if len(term):
-                        owner, term, weight = _weighted(owner, term, weights.value)
-                        back = _placed(owner, term, weight, space, rows.num_rows)[owner] * weight[:, None]
-                        order = np.argsort(term, kind="stable")
-                        starts = np.flatnonzero(np.concatenate(([True], term[order][1:] != term[order][:-1])))
-                        whole[term[order][starts]] += np.add.reduceat(back[order], starts, axis=0)
-                        any_rows = True
+            for rows in _slices(batches):
+                term, owner = _rows(rows.column(0))
+                if len(term):
+                    owner, term, weight = _weighted(owner, term, weights.value)
+                    back = _placed(owner, term, weight, space, rows.num_rows)[owner] * weight[:, None]
+                    order = np.argsort(term, kind="stable")
+                    starts = np.flatnonzero(np.concatenate(([True], term[order][1:] != term[order][:-1])))
+                    whole[term[order][starts]] += np.add.reduceat(back[order], starts, axis=0)
+                    any_rows = True
             some = np.flatnonzero(whole.any(1)) if any_rows else np.empty(0, int)
             for at in range(0, len(some), 1024):
                 part = some[at : at + 1024]
@@ -187,7 +191,7 @@ def subjects(df: DataFrame, areas: DataFrame, labels: DataFrame, id_col: str, te
 
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         idf, space = shared.value
-        for batch in batches:
+        for batch in _slices(batches):
             place, doc = _sentence_places(batch, idf, space)
             rows = np.zeros((batch.num_rows, width))
             np.add.at(rows, doc, place)
@@ -208,7 +212,7 @@ def subjects(df: DataFrame, areas: DataFrame, labels: DataFrame, id_col: str, te
         names, centers = list(now), np.stack(list(now.values()))
 
         def assigned(batches: Iterator[pa.RecordBatch], names=names, centers=centers) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in _slices(batches):
                 place, _, to = nearest(batch, names, centers)
                 rows = np.zeros((len(names), width))
                 np.add.at(rows, to, place)
@@ -227,7 +231,7 @@ def subjects(df: DataFrame, areas: DataFrame, labels: DataFrame, id_col: str, te
 
     def of_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         area = np.array([spelled.index(s) if s != NO_SUBJECT else len(spelled) for s, _ in names])
-        for batch in batches:
+        for batch in _slices(batches):
             _, doc, to = nearest(batch, names, centers)
             table = np.zeros((batch.num_rows, len(spelled) + 1), np.int64)
             np.add.at(table, (doc, area[to]), 1)
