@@ -75,25 +75,25 @@ def _automaton(codec: str) -> re.Pattern:
     return re.compile("(?:" + "|".join("".join(f) for f in forms if "[]" not in f) + ")+")
 
 
-def utf8_spans(text: str, codec: str) -> list[tuple[int, int, str]]:
-    """Maximal spans of ``text`` that, as bytes of ``codec``, are well-formed UTF-8 with a sensible meaning: start, end, meaning."""
+def utf8_spans(text: str, codec: str, single: bool = False) -> list[tuple[int, int, str]]:
+    """Maximal spans of ``text`` that, as bytes of ``codec``, are well-formed UTF-8 with a sensible meaning: start, end, meaning.
+    A pair of letters of a Cyrillic encoding alone counts only if ``single`` is asked for."""
     found, table = [], _to_bytes(codec)
     for m in _automaton(codec).finditer(text):
         meaning = bytes(table[c] for c in m.group()).decode("utf-8")
-        if _SENSE.fullmatch(meaning) and not (len(meaning) < 2 and codec in ("cp1251", "koi8-r", "cp866") and m.group().isalpha()):
+        if _SENSE.fullmatch(meaning) and not (not single and len(meaning) < 2 and codec in ("cp1251", "koi8-r", "cp866") and m.group().isalpha()):
             found.append((m.start(), m.end(), meaning))
     return found
 
 
 def _best_spans(text: str) -> list[tuple[int, int, str]]:
-    best: list[tuple[int, int, str]] = []
-    size = 0
+    best, size, of = [], 0, ""
     for codec in READ_AS:
         spans = utf8_spans(text, codec)
         covered = sum(b - a for a, b, _ in spans)
         if covered > size:
-            best, size = spans, covered
-    return best
+            best, size, of = spans, covered, codec
+    return utf8_spans(text, of, True) if size >= 8 else best
 
 
 @lru_cache(None)
@@ -123,6 +123,15 @@ def _odd(word: str) -> int:
     return len(_ODD_WORD.findall(f" {word} "))
 
 
+def _better(word: str, other: str) -> str:
+    """``other`` where it is less odd than ``word``, or no odder and made of ordinary letters where ``word`` has letters."""
+    before, after = _odd(word), _odd(other)
+    if "\ufffd" in other or after > before:
+        return word
+    same = all(c.isalpha() == d.isalpha() for c, d in zip(word, other, strict=True)) if len(word) == len(other) else False
+    return other if after < before or (same and _RUSSIAN_TOO.issuperset(other)) else word
+
+
 def _plain_swap(text: str) -> tuple[str, str] | None:
     """The pair of encodings that turns most odd words into ordinary ones."""
     words = f" {' '.join(w for w in _BEYOND.findall(text) if _odd(w))} "
@@ -164,7 +173,7 @@ def repair(text: str | None) -> tuple[bool, str | None]:
         garbled = True
         if swap := _plain_swap(now):
             table = _swap_table(*swap)
-            now = _BEYOND.sub(lambda m: w if _odd(w := m.group().translate(table)) < _odd(m.group()) and "�" not in w else m.group(), now)
+            now = _BEYOND.sub(lambda m: _better(m.group(), m.group().translate(table)), now)
     return garbled, now
 
 
