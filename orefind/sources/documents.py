@@ -106,7 +106,7 @@ def kind_of(name: str, head: bytes) -> str:
 
 def read_file(name: str, data: bytes | None, charset: str = "utf-8") -> dict:
     """The fields that a file's bytes give; an error's text in ``error`` instead of an exception."""
-    out: dict = {"title": None, "contents": None, "summary": None, "keywords": None, "author": None, "mime_type": None, "error": None}
+    out: dict = {"title": None, "contents": None, "summary": None, "keywords": None, "author": None, "mime_type": None, "error": None, **dict.fromkeys(("custom1", "custom2", "custom3", "custom4"))}
     try:
         data = data or b""
         kind = kind_of(name, data[:512])
@@ -141,7 +141,7 @@ def files_source(spark: SparkSession, path: str, extensions: list[str] | None =
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            got = pd.DataFrame([read_file(n, d, charset) for n, d in zip(b["name"], b["content"], strict=True)], columns=[c.split()[0] for c in _READ.split(", ")])
+            got = pd.DataFrame([read_file(n, d, charset) for n, d in zip(b["name"], b["content"], strict=True)], columns=[c.split()[0] for c in _READ.split(", ")], dtype=object)
             yield pd.concat([b[["path", "modificationTime", "name"]].reset_index(drop=True), got.reset_index(drop=True)], axis=1)
 
     made = files.mapInPandas(read, f"path string, modificationTime timestamp, name string, {_READ}")
@@ -159,7 +159,7 @@ def links_of(pages: DataFrame) -> DataFrame:
     raw = pages.select("url", href.alias("h")).select("url", F.replace("h", F.lit("&amp;"), F.lit("&")).alias("href"))
     root = F.regexp_extract("url", r"^(https?://[^/?#]+)", 1)
     folder = F.regexp_extract("url", r"^(https?://[^/?#]+(?:/[^?#]*/|/)?)", 1)
-    link = F.when(F.col("href").rlike("(?i)^https?://"), F.col("href")).when(F.startswith("href", F.lit("//")), F.concat(F.regexp_extract("url", "^(https?:)", 1), "href")).when(F.startswith("href", F.lit("/")), F.concat(root, "href")).when(F.col("href").rlike("^(?:#|[a-zA-Z][a-zA-Z0-9+.-]*:)"), None).otherwise(F.concat(F.regexp_replace(folder, "/*$", "/"), "href"))
+    link = F.when(F.col("href").rlike("(?i)^https?://"), F.col("href")).when(F.startswith("href", F.lit("//")), F.concat(F.regexp_extract("url", "^(https?:)", 1), "href")).when(F.startswith("href", F.lit("/")), F.concat(root, "href")).when(F.col("href").rlike("^(?:#|[a-zA-Z][a-zA-Z0-9+.-]*:)"), None).otherwise(F.concat(F.regexp_replace(folder, "/+$", ""), F.lit("/"), "href"))
     return raw.select("url", normal_url(link).alias("link")).filter("link is not null").distinct()
 
 
