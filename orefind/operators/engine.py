@@ -27,6 +27,7 @@ from orefind.sources.documents import COLUMNS, NAMES
 MODES = ("keyword", "vector", "hybrid")
 TYPES = {"file": 0, "path": 1, "custom": 2, "url": 3}
 DOCS = f"{COLUMNS}, index_id string"
+POSTINGS = "field string, term string, index_id string, key string, tf int, positions array<int>"
 
 
 def type_code(name: str) -> int:
@@ -215,7 +216,19 @@ class Collection:
         return self._table("docs", DOCS)
 
     def postings(self) -> DataFrame:
-        return self._table("postings", "field string, term string, index_id string, key string, tf int, positions array<int>")
+        return self._table("postings", POSTINGS)
+
+    def _statistics(self, postings: DataFrame, chosen: list[str]):
+        """Scores' numbers from the stored tables: records and average length by field, records by term."""
+        stats = self._table("stats", "index_id string, field string, n bigint, w bigint").filter(F.col("index_id").isin(chosen))
+        by_field = {r["field"]: (float(r["n"]), float(r["w"])) for r in stats.groupBy("field").agg(F.sum("n").alias("n"), F.sum("w").alias("w")).collect()}
+
+        def of(leaves: list[tuple[str, str]]) -> dict:
+            rows = postings.filter(F.col("term").isin([t for _, t in leaves])).groupBy("field", "term").agg(F.count("*").alias("df")).collect()  # a row a searched term
+            df = {(r["field"], r["term"]): float(r["df"]) for r in rows}
+            return {(f, t): (by_field.get(f, (0.0, 0.0))[0], df.get((f, t), 0.0), by_field.get(f, (0.0, 0.0))[1] / max(1.0, by_field.get(f, (0.0, 0.0))[0])) for f, t in leaves}
+
+        return of
 
     def _write(self, docs: DataFrame) -> None:
         """A new generation of the tables; the old one goes once the pointer has moved."""
@@ -225,6 +238,8 @@ class Collection:
         words = fresh.select("index_id", "key", F.explode(F.array(*(F.struct(F.lit(f).alias("field"), tokens(F.col(f), self.meta["language"]).alias("t")) for f in match.DEFAULT_FIELDS))).alias("x")).select("x.field", "index_id", "key", F.posexplode("x.t").alias("p", "term"))
         lists = words.groupBy("field", "term", "index_id", "key").agg(F.count("*").cast("int").alias("tf"), F.array_sort(F.collect_list("p")).alias("positions"))
         lists.repartitionByRange("field", "term").sortWithinPartitions("field", "term").write.mode("overwrite").parquet(os.path.join(self._folder(new), "postings"))
+        known = self.spark.read.schema(POSTINGS).parquet(os.path.join(self._folder(new), "postings"))
+        known.groupBy("index_id", "field").agg(F.countDistinct("key").alias("n"), F.sum("tf").alias("w")).coalesce(1).write.mode("overwrite").parquet(os.path.join(self._folder(new), "stats"))
         self.meta["generation"] = new
         self.engine.store()
         shutil.rmtree(self._folder(old), ignore_errors=True)
@@ -363,7 +378,14 @@ class Collection:
         everything = isinstance(node, criteria.All)
         mode = "keyword" if dialect == "explicit" or everything else self.meta["mode"]
         fields = tuple(n for n in NAMES if n not in ("modified", "mime_type", "path"))
-        scored = match.ranked(docs, node, known=fields, language=self.meta["language"], query_language=language)
+        if everything or match.named_fields(node) - set(match.DEFAULT_FIELDS):
+            scored = match.ranked(docs, node, known=fields, language=self.meta["language"], query_language=language)
+        else:
+            own = self.postings().filter(F.col("index_id").isin([i.id for i in chosen]))
+            node = match.expanded(node, docs, match.DEFAULT_FIELDS, own)
+            asked = match.pointed_to(node, language or self.meta["language"])
+            met = docs if asked is None else docs.join(own.filter(asked).select("index_id", "key").distinct(), ["index_id", "key"], "left_semi")
+            scored = match.ranked(met, node, known=fields, language=self.meta["language"], query_language=language, dictionary=own, statistics=self._statistics(own, [i.id for i in chosen]))
         if mode != "keyword" and (service := self.embedder()) is not None:
             placed = docs.filter("contents is not null").withColumn("__v", service.generate(F.col("contents")))
             near = vectors.nearest(placed, service.of(docs, query), "__v", "key")

@@ -154,25 +154,29 @@ def _stem(word: str, pattern: str) -> str:
     return re.sub(pattern, "", word)
 
 
-def expanded(node: object, docs: DataFrame, fields: tuple[str, ...]) -> object:
+def expanded(node: object, docs: DataFrame, fields: tuple[str, ...], dictionary: DataFrame | None = None) -> object:
     """The tree with each fuzzy term replaced by the at most FUZZY_TERMS nearest terms that occur, boosted by nearness. Reads the terms once for each."""
     if isinstance(node, c.Bool):
-        return replace(node, clauses=tuple((role, expanded(inner, docs, fields)) for role, inner in node.clauses))
+        return replace(node, clauses=tuple((role, expanded(inner, docs, fields, dictionary)) for role, inner in node.clauses))
     if not isinstance(node, c.Fuzzy):
         return node
     word = node.text
     own = [node.field] if node.field else list(fields)
-    terms = docs.select(F.explode(F.array_distinct(F.flatten(F.array(*(_tok(f) for f in own))))).alias("term"))
+    if dictionary is not None:
+        terms = dictionary.filter(F.col("field").isin(own)).select("term")
+    else:
+        terms = docs.select(F.explode(F.array_distinct(F.flatten(F.array(*(_tok(f) for f in own))))).alias("term"))
     near = terms.filter(F.abs(F.length("term") - len(word)) <= node.edits).distinct().withColumn("d", F.levenshtein(F.col("term"), F.lit(word))).filter(F.col("d") <= node.edits)
     top = near.orderBy("d", "term").limit(FUZZY_TERMS).collect()
     clauses = tuple((c.SHOULD, c.Term(r["term"], node.field, node.boost * (1 - r["d"] / max(1, min(len(word), len(r["term"])))))) for r in top)
     return c.Bool(clauses) if clauses else c.Nothing()
 
 
-def ranked(docs: DataFrame, tree: object, fields: tuple[str, ...] = DEFAULT_FIELDS, known: tuple[str, ...] | None = None, language: str | None = "english", query_language: str | None = None) -> DataFrame:
+def ranked(docs: DataFrame, tree: object, fields: tuple[str, ...] = DEFAULT_FIELDS, known: tuple[str, ...] | None = None, language: str | None = "english", query_language: str | None = None, dictionary: DataFrame | None = None, statistics=None) -> DataFrame:
     """``docs`` that match, with a column score (double). ``docs`` need the fields as strings; null fields are empty ones.
 
     Fields that a search names must be among ``known`` (all string columns unless given), or that part matches nothing.
+    Over a stored index, ``dictionary`` (field, term) and ``statistics`` (from (field, term) pairs to n, df and average length) spare reading all documents.
     """
     names = known or tuple(k for k, t in docs.dtypes if t == "string")
     fields = tuple(f for f in fields if f in names)
@@ -181,13 +185,15 @@ def ranked(docs: DataFrame, tree: object, fields: tuple[str, ...] = DEFAULT_FIEL
     if isinstance(tree, (c.All, c.Nothing)):
         return docs.filter(F.lit(isinstance(tree, c.All))).withColumn("score", F.lit(float(tree.boost)))
     toks = tokenised(docs, used, language)
-    tree = expanded(tree, toks, fields)
+    tree = expanded(tree, toks, fields, dictionary)
     placeholder = (F.lit(1.0), F.lit(1.0), F.lit(1.0))
     probe = Compiler(fields, lambda f, t: placeholder, names, query_language or language)
     probe(tree)
     leaves = list(dict.fromkeys(probe.leaves))
     stat = {f: i for i, f in enumerate(dict.fromkeys(f for f, _ in leaves))}
-    if leaves:
+    if leaves and statistics is not None:
+        numbers = statistics(leaves)
+    elif leaves:
         aggs = []
         for f, i in stat.items():
             aggs += [F.count(F.when(F.size(_tok(f)) > 0, 1)).cast("double").alias(f"n{i}"), F.coalesce(F.sum(F.size(_tok(f))), F.lit(0)).cast("double").alias(f"w{i}")]
@@ -201,6 +207,22 @@ def ranked(docs: DataFrame, tree: object, fields: tuple[str, ...] = DEFAULT_FIEL
     return toks.filter(match).withColumn("score", score.cast("double")).drop(*(f"__t_{f}" for f in used))
 
 
+def pointed_to(node: object, language: str | None = "english") -> Column | None:
+    """A condition on postings (field, term) that holds for at least one posting of each record that can match; null where every record must be read."""
+    if isinstance(node, c.Bool):
+        parts = [pointed_to(inner, language) for role, inner in node.clauses if role != c.MUST_NOT]
+        return _any(parts) if parts and all(p is not None for p in parts) else None if parts else F.lit(False)
+    if isinstance(node, (c.Term, c.Phrase)):
+        return F.col("term").isin(analysed(node.text, language))
+    if isinstance(node, (c.Pattern, c.Range)):
+        return holds(F.col("term"), node)
+    return F.lit(False) if isinstance(node, c.Nothing) else None
+
+
+def named_fields(node: object) -> set[str]:
+    return set(_named(node))
+
+
 def _named(node: object) -> list[str]:
     if isinstance(node, c.Bool):
         return [f for _, inner in node.clauses for f in _named(inner)]

@@ -45,6 +45,16 @@ def test_simple_search_page_and_context(filled):
     assert filled[1].search("java", begin="[H]", end="[/H]", most=1)[0].first()["context"]["text"].count("[H]") == 1
 
 
+def test_stored_scores_equal_scanned_ones(spark, filled):
+    from orefind.functions.criteria import parse_explicit
+    from orefind.operators import match
+
+    for text in ("java web", '"open source" java', "quarrx~1 python", "(java OR python) AND web -flask"):
+        stored = {r["key"]: round(r["score"], 9) for r in filled[1].search(text, dialect="explicit")[0].collect()}
+        scanned = {r["key"]: round(r["score"], 9) for r in match.ranked(filled[1].docs(), parse_explicit(text)).collect()}
+        assert stored == scanned and stored, text
+
+
 def test_filters_and_suggestions(filled):
     assert filled[1].search("java", categories=["web"])[0].count() == 2
     assert filled[1].search("java", categories=["none"])[0].count() == 0
