@@ -77,7 +77,7 @@ ORACLE = {
     "summaries": "SELECT doc_no, contents[1:200] AS summary, coalesce(length(contents), 0)::INT AS n FROM stored_docs",
     "extensions": f"WITH x AS (SELECT doc_no, coalesce(trim(filename, ' '), '') AS f FROM stored_docs) SELECT doc_no, {_EXT} AS ext FROM x WHERE {_EXT} IN ('html', 'cfm', 'txt', '')",
     "normal_extensions": r"SELECT index_no, lower(regexp_replace(trim(extensions, ' '), '^\*?\.', '')) AS ext FROM search_indexes WHERE extensions IS NOT NULL",
-    "stamps": "SELECT doc_no, strftime(modified, '%Y%m%d%H%M%S') || lpad((epoch_ms(modified) % 1000)::VARCHAR, 3, '0') AS stamp, file_path AS path FROM stored_docs WHERE file_path IS NOT NULL AND modified IS NOT NULL",
+    "stamps": "SELECT doc_no, strftime(modified, '%Y%m%d%H%M%S') || lpad((epoch_us(modified) // 1000 % 1000)::VARCHAR, 3, '0') AS stamp, file_path AS path FROM stored_docs WHERE file_path IS NOT NULL AND modified IS NOT NULL",
     "urls": r"""WITH x AS (SELECT doc_no, url, regexp_replace(regexp_replace(url, '[?#].*$', ''), '/[^/]*\.[^/]*$', '/') AS c, regexp_extract(url, '^(https?://[^/?#]+)', 1) AS r FROM stored_docs WHERE url ILIKE 'http%')
 SELECT doc_no, lower(regexp_extract(url, '(?i)^https?://([^/?#:]+)', 1)) AS host, regexp_replace(CASE WHEN length(c) < length(r) THEN r ELSE c END, '/+$', '') AS folder FROM x""",
     "highlighted": "SELECT doc_no, regexp_replace(contents, '(servers)', '<B>\\1</B>', 'gi') AS marked FROM stored_docs WHERE contents IS NOT NULL",
