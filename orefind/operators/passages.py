@@ -35,7 +35,8 @@ def split_passages(text: str | None, size: int = LENGTH, compat: bool = False) -
             out.append([start, end])
             start = end
     if len(out) > 1 and out[-1][1] - out[-1][0] < size * (1 - TOLERANCE) and out[-1][1] - out[-2][0] <= size * (1 + TOLERANCE):
-        out[-2][1] = out.pop()[1]
+        last = out.pop()
+        out[-1][1] = last[1]
     rows = [(text[a:b], a, b) for a, b in out]
     if compat and not closed and rows:
         rows[-1] = (rows[-1][0], rows[-1][1], rows[-1][2] - 1)
