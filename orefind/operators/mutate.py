@@ -27,8 +27,8 @@ def upsert(existing: DataFrame, incoming: DataFrame, key: str = "key", order: st
 def upsert_counts(existing: DataFrame, incoming: DataFrame, key: str = "key") -> DataFrame:
     """deleted, inserted, updated: keys that are new count as inserted; all other rows of ``incoming``, repeats and null keys included, as updated."""
     new = incoming.filter(F.col(key).isNotNull()).select(key).distinct().join(existing.select(key).distinct(), key, "left_anti")
-    rows = incoming.agg(F.count("*").alias("rows"))
-    return new.agg(F.count("*").alias("inserted")).crossJoin(rows).select(F.lit(0).cast("bigint").alias("deleted"), "inserted", (F.col("rows") - F.col("inserted")).alias("updated"))
+    rows = incoming.agg(F.count("*")).scalar()
+    return new.agg(F.count("*").alias("inserted")).select(F.lit(0).cast("bigint").alias("deleted"), "inserted", (rows - F.col("inserted")).alias("updated"))
 
 
 def delete_keys(existing: DataFrame, keys: DataFrame, key: str = "key") -> DataFrame:
