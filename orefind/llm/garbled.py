@@ -3,17 +3,18 @@
 Characters are mapped back to the bytes of the encoding they were wrongly read in. An automaton over these bytes finds
 the maximal spans that are well-formed UTF-8 multibyte sequences, and only those spans are decoded, again and again while
 that yields more. Text of one single-byte encoding read as another has no such structure; there, words that no
-spelling explains (a capital or a symbol inside a lower-case word, a run of Western accented letters, Cyrillic that
-the letters' own frequencies speak against) point to the pair of encodings under which they become ordinary words.
+spelling explains (a capital or a symbol inside a lower-case word, a run of Western accented letters) point to the pair of
+encodings under which they become ordinary words; of Cyrillic, the spans that are likelier Russian in another encoding, by
+the letters' own frequencies and case, are translated.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import groupby
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -43,6 +44,14 @@ _ORDINARY = frozenset(map(chr, range(128))) | frozenset("äöüßÄÖÜéèêë
 _SIGNS = "·¿¡»«–—‘“”„…›‹©№°µ•€"
 _CASES = re.compile(f"[{_UPPER}{_SIGNS}À-ÿ](?:(?<=[{_LOWER}][{_UPPER}])|(?<=[{_LOWER}][{_SIGNS}])(?=[{_LOWER}])|(?<=â)€|(?<=[À-ÿ])[À-ÿ]{{3}}|(?<=\\s[ÈÉ])(?=\\s))")
 _RUSSIAN_TOO = _ORDINARY | frozenset(map(chr, range(0x410, 0x450))) | frozenset("Ёё")
+_CYRILLIC_LETTER = re.compile("[Ѐ-џҐґ]")
+_TOKEN = re.compile("[^\\x00-\\x20]+")
+# A capital behind a small letter, a sign between letters, or a letter that begins no word.
+_MISSPELLED = re.compile("(?<![Ѐ-џҐґ])[ЪЬъь](?=[Ѐ-џҐґ])|(?<=[а-яѐ-џґ])[Ѐ-ЯҐ]|(?<=[Ѐ-џҐґ])[^\\x00-\\x7fЀ-џҐґ«»–—‘’“”„…·\xa0](?=[Ѐ-џҐґ])")
+_CAPITALS = re.compile("(?<![Ѐ-џҐґ])[Ѐ-ЯҐ]{2,}(?![Ѐ-џҐґ])")
+# Pairs of encodings, as read and as written, that Cyrillic is tried with, and the log likelihood that a span must gain.
+_SWAPS = (("cp1251", "koi8-r"), ("koi8-r", "cp1251"), ("cp866", "cp1251"), ("cp1251", "cp866"), ("mac-cyrillic", "cp1251"), ("cp1251", "mac-cyrillic"), ("iso8859-5", "cp1251"), ("cp1251", "iso8859-5"))
+_CHANGE = 12
 # Relative frequencies of Russian letters, in per mille.
 _RUSSIAN = dict(zip("оеаинтсрвлкмдпуяыьгзбчйхжшюцщэфъё", (110, 85, 80, 74, 67, 63, 55, 47, 45, 43, 35, 32, 30, 28, 26, 20, 19, 17, 17, 16, 16, 14, 12, 10, 9, 7, 6, 5, 4, 3, 3, 0.4, 0.4), strict=True))
 
@@ -77,11 +86,12 @@ def _automaton(codec: str) -> re.Pattern:
 
 def utf8_spans(text: str, codec: str, single: bool = False) -> list[tuple[int, int, str]]:
     """Maximal spans of ``text`` that, as bytes of ``codec``, are well-formed UTF-8 with a sensible meaning: start, end, meaning.
-    A pair of letters of a Cyrillic encoding alone counts only if ``single`` is asked for."""
+    A pair of letters of a Cyrillic encoding alone, or one that means a foreign sign beside Cyrillic letters, counts only if ``single`` is asked for."""
     found, table = [], _to_bytes(codec)
     for m in _automaton(codec).finditer(text):
         meaning = bytes(table[c] for c in m.group()).decode("utf-8")
-        if _SENSE.fullmatch(meaning) and not (not single and len(meaning) < 2 and codec in ("cp1251", "koi8-r", "cp866") and m.group().isalpha()):
+        one = not single and len(meaning) < 2 and codec in ("cp1251", "koi8-r", "cp866")
+        if _SENSE.fullmatch(meaning) and not (one and (m.group().isalpha() or meaning not in _RUSSIAN_TOO and _CYRILLIC_LETTER.search(text[m.start() - 1 : m.start()] + text[m.end() : m.end() + 1]))):
             found.append((m.start(), m.end(), meaning))
     return found
 
@@ -101,22 +111,58 @@ def _swap_table(read: str, written: str) -> dict[int, str]:
     return {ord(c): bytes([b]).decode(written, errors="replace") for c, b in _to_bytes(read).items()}
 
 
-def _russian(letters: dict[str, int]) -> float:
-    return sum(n * math.log(_RUSSIAN.get(c.lower(), 0.05) / 1000) for c, n in letters.items()) / max(1, sum(letters.values()))
+@lru_cache(1 << 16)
+def _gains(token: str) -> tuple[float, ...] | None:
+    """By how much each of _SWAPS makes a token likelier as Russian; null for a token that speaks neither way."""
+    beyond = [c for c in token if c > "\x7f" and c != "\ufffd"]
+    if not beyond or not (len(beyond) < 3 or _CYRILLIC_LETTER.search(token)):
+        return None
+    as_is = _likely(token)
+    # a character that the encoding doesn't have can't have been read in it
+    gains = (_likely(token.translate(_swap_table(*s))) - as_is - 4 * sum(ord(c) not in _swap_table(*s) for c in beyond) for s in _SWAPS)
+    return tuple(min(g, 1.0) if len(beyond) < 5 else g for g in gains)  # abbreviations and units are no evidence
 
 
-def _cyrillic_swap(text: str) -> tuple[str, str] | None:
-    """The pair of encodings that Cyrillic words speak for, if their letters are far from Russian as they stand."""
-    letters = Counter("".join(_CYRILLIC.findall(text)))
-    if sum(letters.values()) < 8:
-        return None
-    as_is, best = _russian(letters), None
-    for read, written in (("cp1251", "koi8-r"), ("koi8-r", "cp1251"), ("cp866", "cp1251"), ("cp1251", "cp866"), ("mac-cyrillic", "cp1251"), ("cp1251", "mac-cyrillic"), ("iso8859-5", "cp1251"), ("cp1251", "iso8859-5")):
-        table = _swap_table(read, written)
-        other = _russian(Counter({table.get(ord(c), c): n for c, n in letters.items()}))
-        if other > as_is + 0.5 and (best is None or other > best[0]):
-            best = (other, read, written)
-    return best[1:] if best else None
+def _likely(token: str) -> float:
+    """The log likelihood of a token's characters beyond ASCII by the frequencies of Russian letters, less for letters that no spelling explains."""
+    whole = 0.0
+    for c in token:
+        if c > "\x7f":
+            whole += math.log(_RUSSIAN.get(c.lower(), 0.05) / 1000) if _CYRILLIC_LETTER.match(c) else -4 if c in _RUSSIAN_TOO or c == "\xa0" else -6
+    return whole - 8 * len(_MISSPELLED.findall(token)) - 3 * len(_CAPITALS.findall(token))
+
+
+def _cyrillic_spans(text: str) -> list[tuple[int, int, tuple[str, str]]]:
+    """The maximal spans of ``text`` that a pair of encodings makes likelier as Russian, word for word: start, end, pair.
+
+    The likeliest sequence of states, one for each pair and one for text that is right, each change into a pair costing _CHANGE.
+    """
+    if sum(map(len, _CYRILLIC.findall(text))) < 8:
+        return []
+    tokens = [(m.start(), m.end(), g) for m in _TOKEN.finditer(text) if (g := _gains(m.group()))]
+    pairs = range(len(_SWAPS))
+    right, wrong, back = 0.0, [-math.inf] * len(_SWAPS), []
+    for _, _, gains in tokens:
+        top = max(pairs, key=wrong.__getitem__)
+        left = top if wrong[top] > right else None  # the pair that ends before this token
+        right = max(right, wrong[top])
+        entered = [right - _CHANGE >= wrong[k] for k in pairs]
+        wrong = [max(wrong[k], right - _CHANGE) + gains[k] for k in pairs]
+        back.append((left, entered))
+    state = max(pairs, key=wrong.__getitem__)
+    state = state if wrong[state] > right else None
+    of: list[int | None] = [None] * len(tokens)
+    for i in range(len(tokens) - 1, -1, -1):
+        left, entered = back[i]
+        of[i] = state
+        if state is None or entered[state]:
+            state = left
+    found: list[tuple[int, int, tuple[str, str]]] = []
+    for k, run in groupby(range(len(tokens)), key=of.__getitem__):
+        if k is not None:
+            own = list(run)
+            found.append((tokens[own[0]][0], tokens[own[-1]][1], _SWAPS[k]))
+    return found
 
 
 def _odd(word: str) -> int:
@@ -166,9 +212,12 @@ def repair(text: str | None) -> tuple[bool, str | None]:
             parts += [now[at:a], meaning]
             at = b
         now, garbled = "".join([*parts, now[at:]]), True
-    if swap := _cyrillic_swap(now):
-        table = _swap_table(*swap)
-        now, garbled = _BEYOND.sub(lambda m: m.group().translate(table), now), True
+    if swaps := _cyrillic_spans(now):
+        parts, at = [], 0
+        for a, b, swap in swaps:
+            parts += [now[at:a], now[a:b].translate(_swap_table(*swap))]
+            at = b
+        now, garbled = "".join([*parts, now[at:]]), True
     elif _ODD_WORD.search(now):
         garbled = True
         if swap := _plain_swap(now):

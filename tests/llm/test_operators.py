@@ -163,6 +163,22 @@ def test_only_the_garbled_part_changes():
         assert garbled.repair(fine) == (False, fine)
 
 
+RUSSIAN = ["Отчёты проверили серверы.", "Запросы в новом каталоге полностью сохранили документы.", "Коллекция и страницы после сбоя снова удалили записи.", "На прошлой неделе авторы нашли письма без ошибок."]
+
+
+@pytest.mark.parametrize(("written", "read"), [("cp1251", "koi8-r"), ("koi8-r", "cp1251"), ("cp1251", "cp866"), ("iso8859-5", "cp1251")])
+@pytest.mark.parametrize("parts", [(0,), (1,), (2, 3), (0, 3), (0, 1, 2), (0, 1, 2, 3)])
+def test_garbled_part_of_russian(written, read, parts):
+    """One wrongly read part among right ones, or one right part among wrong ones."""
+    bad = " ".join(s.encode(written).decode(read) if i in parts else s for i, s in enumerate(RUSSIAN))
+    assert garbled.repair(bad) == (True, " ".join(RUSSIAN))
+
+
+def test_right_cyrillic_stays():
+    for fine in (" ".join(RUSSIAN), "МГУ, ЭВМ и ФГУП: 5 кВт, 7 дБ, МэВ.", "ГОСТ, СНиП, ТУ, РФ, МВД, ФСБ, НИИ и ЦК", "ЗАПРОСЫ В НОВОМ КАТАЛОГЕ\nЗапросы заменили.", "Слово — «слово»…", "Київ і Львів: їхні вулиці, ґанок, Європа, її мрії.", "Његова љубав је лепа, а њена ћерка Ђурђа живи у Београду."):
+        assert garbled.repair(fine) == (False, fine)
+
+
 def test_repair_of_rows(spark):
     got = garbled.repair_text(docs(spark, ["GrÃ¼n", None, "", "x", "x"]), "no", "text").orderBy("no").collect()
     assert [r["garbled"] for r in got] == [True, False, False, False, False] and got[0]["restored"] == "Grün"
