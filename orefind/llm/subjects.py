@@ -26,24 +26,37 @@ DIMENSIONS = 64
 SEEDS = 20_000
 NO_SUBJECT = "none"
 _WORD = re.compile(r"[^\W\d_]{2,}")
-_SENTENCE = re.compile(r"(?<=[.?!…])[\"'”»)\]]*\s+|[\r\n]+")
-_CLOSED = re.compile(r"[.?!…][\"'”»)\]]*$")
+_SENTENCE = re.compile(r"(?<=[.?!…])[\"'”»)\]]*\s+|(?<=[。！？])(?![。！？」』”）])|(?<=[。！？][」』”）])|[\r\n]+")
+_CLOSED = re.compile(r"[.?!…。！？][\"'”»)\]」』）]*$")
+_CJK = re.compile("[\u3040-\u30ff\u4e00-\u9fff]")
+# Most words of a heading; two CJK characters count as one.
+HEADING = 10
+
+
+def _parted(text: str | None) -> tuple[list[str], list[str]]:
+    """The sentences of a text, and its headings."""
+    parts = [s for s in _SENTENCE.split(text or "") if s and _WORD.search(s)]
+    sentences, headings = [], []
+    for s in parts:
+        whole = _CLOSED.search(s.rstrip()) or len(_WORD.findall(s)) + len(_CJK.findall(s)) // 2 > HEADING
+        (sentences if whole else headings).append(s)
+    return (sentences, headings) if len(headings) <= len(sentences) else (parts, [])
 
 
 def sentences_of(text: str | None) -> list[str]:
-    """The sentences of a text: what ends with a full stop, question or exclamation mark; without any, its non-blank lines."""
-    parts = [s for s in _SENTENCE.split(text or "") if s and s.strip()]
-    closed = [s for s in parts if _CLOSED.search(s.rstrip()) and _WORD.search(s)]
-    return closed or [s for s in parts if _WORD.search(s)]
+    """The sentences of a text: what ends with a full stop, question or exclamation mark, or is longer than a heading. Where
+    headings would be more than half of a text's pieces they are no headings, and all pieces count."""
+    return _parted(text)[0]
 
 
 def _hashed(texts: list[str | None]) -> tuple[list[list[int]], list[list[int]]]:
-    """Of each text the hashed words of its sentences, one after another, and where each sentence ends."""
+    """Of each text the hashed words of its sentences, one after another, then of its headings; and where each sentence ends."""
     found, words, counts = [], [], []
     for t in texts:
-        own = [_WORD.findall(s.lower()) for s in sentences_of(t)]
+        sentences, headings = _parted(t)
+        own = [_WORD.findall(s.lower()) for s in sentences]
         found.append([len(w) for w in own])
-        flat = [w for x in own for w in x]
+        flat = [w for x in own for w in x] + [w for s in headings for w in _WORD.findall(s.lower())]
         counts.append(len(flat))
         words += flat
     codes, distinct = pd.factorize(np.array(words, dtype=object))
@@ -144,7 +157,8 @@ def _sentence_places(batch: pa.RecordBatch, idf: np.ndarray, space: np.ndarray)
         return np.zeros((0, space.shape[1])), doc
     starts_of_rows = np.concatenate(([0], np.cumsum(np.bincount(row, minlength=batch.num_rows))))
     owner = np.searchsorted(end + starts_of_rows[doc], np.arange(len(term)), "right")
-    place = _placed(*_weighted(owner, term, idf), space, len(end))
+    inside = (owner < len(end)) & (doc[np.minimum(owner, len(end) - 1)] == row)  # words of headings lie behind a row's last sentence
+    place = _placed(*_weighted(owner[inside], term[inside], idf), space, len(end))
     return place / np.maximum(np.linalg.norm(place, axis=1), 1e-12)[:, None], doc
 
 

@@ -300,3 +300,17 @@ def test_subjects_of_documents(spark):
     assert len(wrong) <= 5, wrong
     assert subjects.subjects(df, areas, labels.limit(0), "doc_id", "text", "lang").count() == 0
     assert subjects.sentences_of("At 3.15 he left. Why?\nTitle") == ["At 3.15 he left.", "Why?"]
+
+
+def test_sentences_without_full_stop_and_headings():
+    long = "Skebravur said that the threads parsed the particles because of a stale lock again"
+    assert subjects.sentences_of(f"Short title\n{long}\nIt ended. Why?") == [long, "It ended.", "Why?"]
+    lines = ["oven sauce onion", "recipe soup flour", "pan and oven"]
+    assert subjects.sentences_of("\n".join([*lines, "It is law."])) == [*lines, "It is law."]
+    assert subjects.sentences_of("判決は出た。「控訴する。」彼は言った。\n見出し") == ["判決は出た。", "「控訴する。」", "彼は言った。"]
+    # a heading's words count in the terms of the document, but belong to no sentence
+    ids, ends = subjects._hashed(["Verdict\nThe judge spoke.", "Onion soup\nThe oven was hot."])
+    assert [len(x) for x in ids] == [4, 6] and [list(x) for x in ends] == [[3], [4]]
+    batch = subjects.pa.RecordBatch.from_arrays([subjects.pa.array([0, 1]), subjects.pa.array(ids), subjects.pa.array(ends)], ["id", "terms", "ends"])
+    place, doc = subjects._sentence_places(batch, subjects.np.ones(subjects.TERMS), subjects.np.eye(subjects.TERMS))
+    assert list(doc) == [0, 1] and [int((p > 0).sum()) for p in place] == [3, 4] and not place[1][ids[0][3]]
