@@ -4,8 +4,9 @@ A record is a bag of words, held as a set of elements (word, how often it has oc
 elements are similar if they share T = ceil(t (n + m) / (1 + t)) or more. Their elements have inverted lists, and
 DivideSkip parts a record's lists: the T - 1 longest are left out of the merge, so that any record reaching T is met in
 one of the short lists that remain. The short lists are merged in one sorted shuffle by element; records met there that
-size, place in the lists and a sketch of word counts do not rule out are candidates. Then the long lists are probed, by
-binary search, for the candidates alone, and those that reach T are checked against the texts.
+size, place in the lists and a sketch of word counts do not rule out are candidates. With T - 1 lists left out one
+meeting is enough, so occurrences are not counted, which makes the method a prefix filter. The long lists are never
+built: both texts of a candidate pair are cut again, their elements intersected, and pairs that reach T checked word for word.
 
 Records with the same bag of words are one class from the start, so copies meet in no list. An element whose list
 grows beyond ``HOT`` is cut into blocks: a record is listed in one and looked up in all.
