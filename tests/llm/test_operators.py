@@ -274,6 +274,12 @@ def test_a_site_repeats_its_lines(spark):
     assert len(lines) == 1 and lines[0]["share"] == 1.0
 
 
+def test_a_page_delivered_again_repeats_nothing(spark):
+    rows = [("s", "Zorp speaks\nown a"), ("s", "Zorp speaks\nown a"), ("t", "Menu\nown b"), ("t", "Menu\nown b"), ("t", "Menu\nown c")]
+    got = {r["site"]: [x["share"] for x in r["lines"]] for r in mainbody.site_lines(spark.createDataFrame(rows, "site string, text string")).collect()}
+    assert got == {"t": [1.0]}
+
+
 # --- subjects ---
 
 
