@@ -163,11 +163,11 @@ def links_of(pages: DataFrame) -> DataFrame:
     return raw.select("url", normal_url(link).alias("link")).filter("link is not null").distinct()
 
 
-def crawled(pages: DataFrame, seed: str, recurse: bool = True, extensions: tuple[str, ...] = CRAWLED, most_rounds: int = 50) -> DataFrame:
+def crawled(pages: DataFrame, seed: str, recurse: bool = True, extensions: tuple[str, ...] = CRAWLED, most_rounds: int | None = None) -> DataFrame:
     """The pages (url, html) that can be reached from ``seed`` over links of its host with an allowed extension or none.
 
     A frontier of addresses moves on by joins until nothing new is met; each round is written to the shared folder. ``pages`` stands for
-    the web: fetching is a source that fills it. The start itself is always taken.
+    the web: fetching is a source that fills it. The start itself is always taken. A crawl that isn't done after ``most_rounds`` raises an error.
     """
     spark = pages.sparkSession
     web = pages.withColumn("url", normal_url(F.col("url"))).dropDuplicates(["url"])
@@ -175,13 +175,17 @@ def crawled(pages: DataFrame, seed: str, recurse: bool = True, extensions: tuple
     host = host_of(F.lit(seed))
     seen = written(start, "crawl")
     frontier = seen
-    for _ in range(most_rounds if recurse else 0):
+    done = 0
+    while recurse:
         links = links_of(web.join(frontier, "url", "left_semi")).select(F.col("link").alias("url")).distinct()
         path = F.regexp_replace("url", r"[?#].*$", "")
         ext = extension(F.regexp_replace(path, r"^https?://[^/]*", ""))
         new = written(links.filter((host_of(F.col("url")) == host) & ext.isin("", *extensions)).join(seen, "url", "left_anti"), "crawl")
         if new.isEmpty():
             break
+        if done == most_rounds:
+            raise ValueError(f"the crawl of {seed} is not done after {most_rounds} rounds")
+        done += 1
         seen, frontier = written(seen.unionByName(new), "crawl"), new
     return web.join(seen, "url", "left_semi")
 
