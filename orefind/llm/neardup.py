@@ -2,14 +2,15 @@
 
 A record is a bag of words, held as a set of elements (word, how often it has occurred so far). Two records of n and m
 elements are similar if they share T = ceil(t (n + m) / (1 + t)) or more. Their elements have inverted lists, and
-DivideSkip parts a record's lists: the T - 1 longest are left out of the merge, so that any record reaching T is met in
-one of the short lists that remain. The short lists are merged in one sorted shuffle by element; records met there that
-size, place in the lists and a sketch of word counts do not rule out are candidates. With T - 1 lists left out one
-meeting is enough, so occurrences are not counted, which makes the method a prefix filter. The long lists are never
-built: both texts of a candidate pair are cut again, their elements intersected, and pairs that reach T checked word for word.
-
-Records with the same bag of words are one class from the start, so copies meet in no list. An element whose list
-grows beyond ``HOT`` is cut into blocks: a record is listed in one and looked up in all.
+DivideSkip parts a record's lists by length: the L = T - MET longest are left out of the merge, the short ones are merged
+in one sorted shuffle by element. A record that shares T elements is met in at least MET of the short lists, so meetings
+are counted, pair by pair, and those that reach MET, and that size, place in the lists and a sketch of word counts do not
+rule out, are candidates. The long lists are kept the other way round, by record and sorted, so that a candidate is
+looked up in all of a record's long lists by binary search in one row; pairs that reach T are checked word for word.
+
+Records with the same bag of words are one class from the start, so copies meet in no list. A list of more than ``HOT``
+records is cut into a grid: a record is indexed in one row of cells and looks others up in one column, so each two meet in
+one cell, and no cell has more than about 2 HOT entries.
 """
 
 from __future__ import annotations
@@ -25,9 +26,14 @@ from pyspark.sql import functions as F
 
 from orefind.sources.shared import written
 
-# Buckets of the table of list lengths that all executors get: its size is bounded, whatever the corpus.
-BUCKETS = 1 << 18
-# Records in one block of a list.
+# Lists of elements in more than this share of all records are long for certain, and counted each by itself: of records of n
+# elements on average there are at most HEAVY n. The lengths of others are estimated by the smaller of two counts in tables of BUCKETS
+# entries; they only choose the order of lists, which is the same for all records.
+HEAVY = 2048
+BUCKETS = 1 << 20
+# Meetings in short lists that make a candidate.
+MET = 2
+# Records in one row or column of a list's grid.
 HOT = 50_000
 _PAIRS = 1 << 20
 # Counts of a record's words in 128 buckets, up to 15 each, four bits a bucket: how far two records' counts are apart bounds how
@@ -78,23 +84,91 @@ def _slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.
             yield batch.slice(at, rows)
 
 
-def _list_lengths(least: int):
+class Lengths:
+    """The lengths of lists by element: exact for heavy ones, estimated from above for others."""
+
+    def __init__(self, heavy: np.ndarray, exact: np.ndarray, tables: np.ndarray) -> None:
+        order = np.argsort(heavy)
+        self.heavy, self.exact, self.tables = heavy[order], exact[order], tables
+
+    def __call__(self, element: np.ndarray) -> np.ndarray:
+        found = np.minimum(*(self.tables[k][at] for k, at in enumerate(_places(element)))).astype(np.int64)
+        if len(self.heavy):
+            at = np.minimum(np.searchsorted(self.heavy, element), len(self.heavy) - 1)
+            found = np.where(self.heavy[at] == element, self.exact[at], found)
+        return found
+
+
+def _places(element: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return (element % _U(BUCKETS)).astype(np.int64), ((element >> _U(32)) % _U(BUCKETS)).astype(np.int64)
+
+
+def _element_counts(least: int):
+    """Elements of a task's records, and in how many of them each is; the row of element null has the records."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lengths = np.zeros(BUCKETS, np.int64)
+        seen, counts, records = np.empty(0, _U), np.empty(0, np.int64), 0
+        parts: list[np.ndarray] = []
+        size = 0
+
+        def merged() -> tuple[np.ndarray, np.ndarray]:
+            both = np.concatenate((seen, *parts))
+            weight = np.concatenate((counts, np.ones(len(both) - len(seen), np.int64)))
+            order = np.argsort(both, kind="stable")
+            both, weight = both[order], weight[order]
+            starts = np.flatnonzero(np.concatenate(([True], both[1:] != both[:-1])))
+            return both[starts], np.add.reduceat(weight, starts)
+
         for batch in _slices(batches):
-            _, _, element, _ = _elements(batch.column(0).to_pylist(), least)
-            lengths += np.bincount((element % _U(BUCKETS)).astype(np.int64), minlength=BUCKETS)
-        some = np.flatnonzero(lengths)
-        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(lengths[some])], ["bucket", "n"])
+            rows, _, element, _ = _elements(batch.column(0).to_pylist(), least)
+            records += len(rows)
+            parts.append(element)
+            size += len(element)
+            if size > 1 << 21:
+                seen, counts = merged()
+                parts, size = [], 0
+            if len(seen) > 1 << 21:
+                yield pa.RecordBatch.from_arrays([pa.array(seen.view(np.int64)), pa.array(counts)], ["element", "n"])
+                seen, counts = np.empty(0, _U), np.empty(0, np.int64)
+        if size:
+            seen, counts = merged()
+        if len(seen):
+            yield pa.RecordBatch.from_arrays([pa.array(seen.view(np.int64)), pa.array(counts)], ["element", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([records])], ["element", "n"])
 
     return run
 
 
+def _tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    tables = np.zeros((2, BUCKETS), np.int64)
+    for batch in batches:
+        element, n = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+        for table, at in zip(tables, _places(element.view(_U)), strict=True):
+            table += np.bincount(at, n, BUCKETS).astype(np.int64)
+    some = np.flatnonzero(tables.any(0))
+    for at in range(0, len(some), 1 << 16):
+        part = some[at : at + (1 << 16)]
+        yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array(tables[0][part]), pa.array(tables[1][part])], ["bucket", "x", "y"])
+
+
+def list_lengths(texts: DataFrame, least: int) -> Lengths:
+    """The lengths of the lists of all elements, as a table of bounded size: HEAVY times a record's mean size, and two of BUCKETS."""
+    counts = written(texts.select("text").mapInArrow(_element_counts(least), "element bigint, n bigint").groupBy("element").agg(F.sum("n").alias("n")), "elements")
+    records = counts.filter("element is null").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    known = counts.filter("element is not null")
+    heavy = known.filter(F.col("n") * HEAVY > records).filter("n > 1").toArrow()
+    light = known.filter((F.col("n") * HEAVY <= records) | (F.col("n") <= 1)).mapInArrow(_tables, "bucket int, x bigint, y bigint").groupBy("bucket").agg(F.sum("x").alias("x"), F.sum("y").alias("y")).toArrow()
+    tables = np.zeros((2, BUCKETS), np.uint32)
+    for k in range(2):
+        tables[k][light.column(0).to_numpy()] = np.minimum(light.column(k + 1).to_numpy(), (1 << 32) - 1)
+    return Lengths(heavy.column(0).to_numpy().view(_U), heavy.column(1).to_numpy(), tables)
+
+
 def _records(least: int, num: int, den: int, lengths):
     """One row a record: id, its bag's two fingerprints, n, its short lists in order of length, its sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        df, met = lengths.value, set()
+        length_of, met = lengths.value, set()
         for batch in _slices(batches):
             rows, sizes, element, word = _elements(batch.column(1).to_pylist(), least)
             count, owner = len(rows), np.repeat(np.arange(len(rows)), sizes)
@@ -105,10 +179,9 @@ def _records(least: int, num: int, den: int, lengths):
                 prints = [np.add.reduceat(_mixed(element ^ _U(s)), starts).view(np.int64) for s in (0x51ED270B, 0xA24BAED4963EE407)]
             counts = np.minimum(np.bincount(owner * 128 + (word >> _U(57)).astype(np.int64), minlength=count * 128), 15).astype(np.uint8).reshape(count, 128)
             sketch = np.ascontiguousarray(counts[:, :64] | (counts[:, 64:] << 4)).view(np.int64)
-            length = df[(element % _U(BUCKETS)).astype(np.int64)]
-            order = np.lexsort((element, length, owner))
+            order = np.lexsort((element, length_of(element), owner))
             place = np.arange(len(order)) - np.repeat(starts, sizes)
-            short = place < np.repeat(sizes - (num * sizes + den - 1) // den + 1, sizes)
+            short = place < np.repeat(sizes - (num * sizes + den - 1) // den + MET, sizes)
             first = np.array([p not in met and not met.add(p) for p in zip(prints[0].tolist(), prints[1].tolist(), strict=True)])
             short &= np.repeat(first, sizes)
             offsets = np.concatenate(([0], np.cumsum(np.bincount(owner[short], minlength=count)))).astype(np.int32)
@@ -125,7 +198,7 @@ def _listed(num: int, den: int, lengths):
     """A row for each record and short list: the list (and block), size, place and role packed to sort by size, record, sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        df = lengths.value
+        length_of = lengths.value
         for batch in _slices(batches, 5000):
             lists = batch.column(2)
             sizes = np.diff(lists.offsets.to_numpy())
@@ -133,23 +206,31 @@ def _listed(num: int, den: int, lengths):
             if not len(element):
                 continue
             owner = np.repeat(np.arange(batch.num_rows), sizes)
+            prints = batch.column(0).to_numpy(zero_copy_only=False).view(_U)
             place = np.arange(len(owner)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
             n = batch.column(1).to_numpy(zero_copy_only=False)[owner]
-            length = df[(element % _U(BUCKETS)).astype(np.int64)]
+            length = length_of(element)
             # twice the overlap that equal sizes need
-            indexed = place < n - (2 * num * n + num + den - 1) // (num + den) + 1
-            blocks = -(-length // HOT)
+            indexed = place < n - (2 * num * n + num + den - 1) // (num + den) + MET
+            edge = -(-length // HOT)
             role = np.where(indexed, 3, 2)
-            some = np.flatnonzero((length > 1) & (blocks == 1))
-            hot = np.flatnonzero(blocks > 1)
-            own = owner[hot] % np.maximum(1, blocks[hot])
-            probes = np.repeat(hot, blocks[hot])
-            block = np.arange(len(probes)) - np.repeat(np.cumsum(blocks[hot]) - blocks[hot], blocks[hot])
-            at = np.concatenate((some, hot[indexed[hot]], probes))
-            salt = np.concatenate((np.zeros(len(some), np.int64), own[indexed[hot]], block)).astype(_U)
-            role = np.concatenate((role[some], np.ones(int(indexed[hot].sum()), np.int64), np.full(len(probes), 2)))
+            some = np.flatnonzero((length > 1) & (edge == 1))
+            hot = np.flatnonzero(edge > 1)
+            own = (_mixed(prints[owner[hot]]) % np.maximum(1, edge[hot]).astype(_U)).astype(np.int64)
+
+            def cells(of: np.ndarray, mine: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+                """Each of ``of`` once for every other coordinate."""
+                times = edge[of]
+                other = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+                return np.repeat(of, times), np.repeat(mine, times), other
+
+            put, row, column = cells(hot[indexed[hot]], own[indexed[hot]])
+            asked, of_column, of_row = cells(hot, own)
+            at = np.concatenate((some, put, asked))
+            salt = np.concatenate((np.zeros(len(some), np.int64), row * (1 << 31) + column + 1, of_row * (1 << 31) + of_column + 1)).astype(_U)
+            role = np.concatenate((role[some], np.ones(len(put), np.int64), np.full(len(asked), 2)))
             with np.errstate(over="ignore"):
-                key = (element[at] + salt * _U(0xD1342543DE82EF95)).view(np.int64)
+                key = np.where(salt > 0, _mixed(element[at] + _mixed(salt)), element[at]).view(np.int64)
             who = pa.array(owner[at])
             yield pa.RecordBatch.from_arrays([pa.array(key), pa.array((n[at] << 32) | (place[at] << 2) | role), batch.column(0).take(who), *(batch.column(3 + i).take(who) for i in range(len(_SKETCH)))], ["list", "entry", "id", *_SKETCH])
 
@@ -157,7 +238,7 @@ def _listed(num: int, den: int, lengths):
 
 
 def _met(num: int, den: int):
-    """Merges the lists of a partition, sorted by list and size, into candidate pairs."""
+    """Merges the lists of a partition, sorted by list and size, into pairs and how often they met; ``least`` is how often a pair must meet."""
 
     def merge(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         key, entry, who, *sketches = rows
@@ -177,7 +258,8 @@ def _met(num: int, den: int):
             a = index[np.repeat(low[start:stop], size) + np.arange(len(b)) - np.repeat(np.cumsum(size) - size, size)]
             start = stop
             need = (num * (n[a] + n[b]) + num + den - 1) // (num + den)
-            keep = (1 + np.minimum(n[a] - place[a], n[b] - place[b]) - 1 >= need) & (who[a] != who[b])
+            # of records of one size, the smaller id is looked up; a pair's first MET meetings leave enough behind them
+            keep = (np.minimum(n[a] - place[a], n[b] - place[b]) + MET - 1 >= need) & ((n[a] < n[b]) | (who[a] < who[b]))
             a, b, need = a[keep], b[keep], need[keep]
             spare = n[a] + n[b] - 2 * need
             for part in range(0, 64, 16):  # most are out after the first part
@@ -185,10 +267,12 @@ def _met(num: int, den: int):
                 spare = spare - (np.abs((p & 15).view(np.int8) - (q & 15).view(np.int8)) + np.abs((p >> 4).view(np.int8) - (q >> 4).view(np.int8))).sum(1, dtype=np.int64)
                 keep = spare >= 0
                 a, b, spare = a[keep], b[keep], spare[keep]
-            a, b = who[a], who[b]
             if len(a):
-                pairs = np.unique(np.stack((np.minimum(a, b), np.maximum(a, b)), 1), axis=0)
-                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+                x, y, least = who[a], who[b], np.minimum(MET, (num * (n[a] + n[b]) + num + den - 1) // (num + den))
+                order = np.lexsort((y, x))
+                x, y, least = x[order], y[order], least[order]
+                starts = np.flatnonzero(np.concatenate(([True], (x[1:] != x[:-1]) | (y[1:] != y[:-1]))))
+                yield pa.RecordBatch.from_arrays([pa.array(x[starts]), pa.array(y[starts]), pa.array(np.diff(np.append(starts, len(x)))), pa.array(least[starts])], ["a", "b", "met", "least"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list[np.ndarray]] = []
@@ -212,7 +296,8 @@ def _met(num: int, den: int):
 
 
 def _reaching(num: int, den: int):
-    """Of candidate pairs with their texts, those that reach the overlap."""
+    """Of candidate pairs with their texts, those that reach the overlap: the elements of one, those of its long lists among them, are looked
+    up by binary search in the sorted row of the other."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _slices(batches):
@@ -244,10 +329,7 @@ def similar_classes(df: DataFrame, id_col: str, text_col: str, least_words: int
     num, den = similarity
     spark = df.sparkSession
     texts = df.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    counted = texts.select("text").mapInArrow(_list_lengths(least_words), "bucket int, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
-    table = np.zeros(BUCKETS, np.int64)
-    table[counted.column(0).to_numpy()] = counted.column(1).to_numpy()
-    lengths = spark.sparkContext.broadcast(table)
+    lengths = spark.sparkContext.broadcast(list_lengths(texts, least_words))
     records = written(texts.mapInArrow(_records(least_words, num, den, lengths), f"id bigint, p1 bigint, p2 bigint, n bigint, lists array<bigint>, first boolean, {_KINDS}"), "records")
     # the class is named by its smallest id, and looked up by the smallest of those that carry its lists
     by_print = records.groupBy("p1", "p2").agg(F.min("id").alias("class"), F.min(F.when(F.col("first"), F.col("id"))).alias("speaker"))
@@ -257,8 +339,9 @@ def similar_classes(df: DataFrame, id_col: str, text_col: str, least_words: int
     silent = records.filter("first").select("id", "p1", "p2").join(by_print.select("p1", "p2", "speaker"), ["p1", "p2"]).filter("id <> speaker").select("id")
     speakers = records.filter("first").select("id", "n", "lists", *_SKETCH).join(silent, "id", "left_anti")
     listed = speakers.mapInArrow(_listed(num, den, lengths), f"list bigint, entry bigint, id bigint, {_KINDS}")
-    met = listed.repartition("list").sortWithinPartitions("list", "entry").mapInArrow(_met(num, den), "a bigint, b bigint")
-    met = written(met.distinct(), "candidates")
+    met = listed.repartition("list").sortWithinPartitions("list", "entry").mapInArrow(_met(num, den), "a bigint, b bigint, met bigint, least bigint")
+    met = met.groupBy("a", "b").agg(F.sum("met").alias("met"), F.max("least").alias("least")).filter("met >= least").select("a", "b")
+    met = written(met, "candidates")
     asked = met.select(F.col("a").alias("id")).union(met.select("b")).distinct()
     asked_texts = written(texts.join(asked, "id", "left_semi"), "texts")
     pairs = met.join(asked_texts.withColumnsRenamed({"id": "a", "text": "text_a"}), "a").join(asked_texts.withColumnsRenamed({"id": "b", "text": "text_b"}), "b")
@@ -268,25 +351,35 @@ def similar_classes(df: DataFrame, id_col: str, text_col: str, least_words: int
     return members, links.select(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b"))
 
 
-def similar_pairs(members: DataFrame, links: DataFrame) -> DataFrame:
-    """(id_a, id_b), id_a < id_b: every pair of records of one class or of linked classes."""
-    x, y = members.withColumnsRenamed({"id": "x", "class": "a"}), members.withColumnsRenamed({"id": "y", "class": "b"})
-    same = members.groupBy("class").count().filter("count > 1").select("class")
-    copies = members.join(same, "class", "left_semi")
-    within = copies.withColumnsRenamed({"id": "x"}).join(copies.withColumnsRenamed({"id": "y"}), "class").filter("x < y").select("x", "y")
-    across = links.join(x, "a").join(y, "b").select("x", "y")
+def similar_pairs(members: DataFrame, links: DataFrame, block: int = 1000) -> DataFrame:
+    """(id_a, id_b), id_a < id_b: every pair of records of one class or of linked classes.
+
+    That many pairs is what is asked for here; ``groups`` is the form for large data. Members of a class are put into blocks of about
+    ``block``, and blocks are paired, so no task has the pairs of a large class.
+    """
+    sizes = members.groupBy("class").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+    placed = members.join(sizes, "class").select("id", "class", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block"), "blocks")
+    copies = members.groupBy("class").count().filter("count > 1").select("class")
+    copied = placed.join(copies, "class", "left_semi")
+    x = copied.select(F.col("id").alias("x"), "class", F.col("block").alias("i"), F.explode(F.sequence(F.col("block"), F.col("blocks") - 1)).alias("j"))
+    y = copied.select(F.col("id").alias("y"), "class", F.explode(F.sequence(F.lit(0), F.col("block"))).alias("i"), F.col("block").alias("j"))
+    within = x.join(y, ["class", "i", "j"]).filter("i < j or x < y").select("x", "y")
+    paired = links.join(sizes.withColumnsRenamed({"class": "a", "blocks": "m"}), "a").join(sizes.withColumnsRenamed({"class": "b", "blocks": "n"}), "b")
+    paired = paired.select("a", "b", F.explode(F.sequence(F.lit(0), F.col("m") - 1)).alias("i"), "n").select("a", "b", "i", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("j"))
+    own = lambda who, cls, at: placed.select(F.col("id").alias(who), F.col("class").alias(cls), F.col("block").alias(at))
+    across = paired.join(own("x", "a", "i"), ["a", "i"]).join(own("y", "b", "j"), ["b", "j"]).select("x", "y")
     both = within.unionByName(across)
     return both.select(F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b"))
 
 
-def groups(members: DataFrame, links: DataFrame, rounds: int = 60) -> DataFrame:
+def groups(members: DataFrame, links: DataFrame) -> DataFrame:
     """(id, class, group): records that links join, directly or over others, bear the same group, the smallest class in it.
 
     Large-star and small-star rounds over the links, each written to the shared folder, until nothing changes; a round
     halves the longest chain. A record without links is a group with its class alone.
     """
     edges = written(links.select(F.col("b").alias("u"), F.col("a").alias("v")), "edges")
-    for _ in range(rounds):
+    while True:
         both = edges.union(edges.select("v", "u"))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
