@@ -4,7 +4,7 @@ Characters are mapped back to the bytes of the encoding they were wrongly read i
 the maximal spans that are well-formed UTF-8 multibyte sequences, and only those spans are decoded, again and again while
 that yields more. Text of one single-byte encoding read as another has no such structure; there, words that no
 spelling explains (a capital or a symbol inside a lower-case word, a run of Western accented letters) point to the pair of
-encodings under which they become ordinary words; of Cyrillic, the spans that are likelier Russian in another encoding, by
+encodings under which they become ordinary words, if several words, or one long one, say so together; of Cyrillic, the spans that are likelier Russian in another encoding, by
 the letters' own frequencies and case, are translated.
 """
 
@@ -37,6 +37,8 @@ _ODD_WORD = re.compile(
     "|(?<!\\w)ì[A-Za-zÀ-ÿ]"  # a quotation mark become a letter
     "|[À-ÿ¸¨¹]{4}|[─-▟](?![─-▟])|[\x80-\x84\x86-\x9f]"
 )
+_WORD_LIKE = re.compile(r"[^\W\d_]{3}|[^\W\d_][^\w\s][^\W\d_]{2}|[^\W\d_]{2}[^\w\s]")  # a sign may stand for a letter
+_CONTROLS = re.compile("[\x80-\x84\x86-\x9f]")  # no text has them
 _BEYOND = re.compile(r"\S*[^\x00-\x7f\s]\S*")
 _CYRILLIC = re.compile("[Ѐ-џҐґ]{3,}")
 # No text without one of these is affected.
@@ -44,6 +46,8 @@ _ORDINARY = frozenset(map(chr, range(128))) | frozenset("äöüßÄÖÜéèêë
 _SIGNS = "·¿¡»«–—‘“”„…›‹©№°µ•€"
 _CASES = re.compile(f"[{_UPPER}{_SIGNS}À-ÿ](?:(?<=[{_LOWER}][{_UPPER}])|(?<=[{_LOWER}][{_SIGNS}])(?=[{_LOWER}])|(?<=â)€|(?<=[À-ÿ])[À-ÿ]{{3}}|(?<=\\s[ÈÉ])(?=\\s))")
 _RUSSIAN_TOO = _ORDINARY | frozenset(map(chr, range(0x410, 0x450))) | frozenset("Ёё")
+# What a restored word is made of: those, and letters of some more languages.
+_SPELLED = _RUSSIAN_TOO | frozenset("åøæÅØÆìòãõÃÕìÌÒÂÔÛÎÏËÙšžčřěůýťďňŠŽČŘÝőűŐŰşğıŞĞİțșăȚȘĂþðÞÐ")
 _CYRILLIC_LETTER = re.compile("[Ѐ-џҐґ]")
 _TOKEN = re.compile("[^\\x00-\\x20]+")
 # A capital behind a small letter, a sign between letters, or a letter that begins no word.
@@ -169,26 +173,45 @@ def _odd(word: str) -> int:
     return len(_ODD_WORD.findall(f" {word} "))
 
 
+def _evidence(words: set[str]) -> float:
+    """How much different words say that their text is garbled: an odd word 1; one without three letters on end, such as a unit or a
+    formula, 0.25; a letter alone, which is a word in some language, 0.4. Less than 1 is none."""
+    whole = 0.0
+    for w in words:
+        if odd := _odd(w):
+            whole += (0.4 if w.isalpha() else 1.0) if len(w) == 1 else min(odd, 1) if _WORD_LIKE.search(w) else 0.25
+    return whole
+
+
 def _better(word: str, other: str) -> str:
     """``other`` where it is less odd than ``word``, or no odder and made of ordinary letters where ``word`` has letters."""
     before, after = _odd(word), _odd(other)
     if "\ufffd" in other or after > before:
         return word
+    if _SPELLED.issuperset(other) and not _SPELLED.issuperset(word):
+        return other
     same = all(c.isalpha() == d.isalpha() for c, d in zip(word, other, strict=True)) if len(word) == len(other) else False
     return other if after < before or (same and _RUSSIAN_TOO.issuperset(other)) else word
 
 
 def _plain_swap(text: str) -> tuple[str, str] | None:
-    """The pair of encodings that turns most odd words into ordinary ones."""
-    words = f" {' '.join(w for w in _BEYOND.findall(text) if _odd(w))} "
-    best, least = None, len(_ODD_WORD.findall(words)) + 1
+    """The pair of encodings that turns most odd words into ordinary ones, if those are evidence enough together."""
+    found = {w for w in _BEYOND.findall(text) if _odd(w)}
+    enough = _evidence(found)
+    if enough < 1:
+        return None
+    words = f" {' '.join(w for w in _BEYOND.findall(text) if w in found or not _SPELLED.issuperset(w))} "
+    strange = lambda t: sum(c not in _SPELLED for c in t)
+    best, least = None, len(_ODD_WORD.findall(words)) + strange(words)
     for read in READ_AS:
         for written in WRITTEN_IN:
             if read != written:
                 swapped = words.translate(_swap_table(read, written))
-                odd = len(_ODD_WORD.findall(swapped)) + 2 * swapped.count("�")
+                odd = len(_ODD_WORD.findall(swapped)) + strange(swapped) + swapped.count("�")
                 if odd < least:
                     best, least = (read, written), odd
+    if best is None or enough - _evidence({w.translate(_swap_table(*best)) for w in found}) < 1:
+        return None
     return best
 
 
@@ -203,10 +226,7 @@ def repair(text: str | None) -> tuple[bool, str | None]:
     if plain and not _CYRILLIC.search(text):
         return False, text
     garbled, now = "\ufffd" in text, text
-    for _ in range(0 if plain else 4):
-        spans = _best_spans(now)
-        if not spans:
-            break
+    while not plain and (spans := _best_spans(now)):  # each time shorter
         parts, at = [], 0
         for a, b, meaning in spans:
             parts += [now[at:a], meaning]
@@ -219,10 +239,11 @@ def repair(text: str | None) -> tuple[bool, str | None]:
             at = b
         now, garbled = "".join([*parts, now[at:]]), True
     elif _ODD_WORD.search(now):
-        garbled = True
         if swap := _plain_swap(now):
             table = _swap_table(*swap)
-            now = _BEYOND.sub(lambda m: _better(m.group(), m.group().translate(table)), now)
+            now, garbled = _BEYOND.sub(lambda m: _better(m.group(), m.group().translate(table)), now), True
+        elif _CONTROLS.search(now):
+            garbled = True
     return garbled, now
 
 
