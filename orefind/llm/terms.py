@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orefind.sources.shared import shared_folder
+from orefind.sources.shared import Pointer, names_in, remove, shared_folder, written
 
 TERM = re.compile(r"[^\W_]+")
 COUNTS = "field_name string, term string, occurrences bigint, records bigint"
@@ -65,30 +65,53 @@ def value_deltas(changes: DataFrame, value_col: str) -> DataFrame:
 
 
 class TermCounts:
-    """Persistent counts of terms by field, partitioned by a hash of the term, kept up to date by signed deltas.
+    """Persistent counts of terms by field, in buckets by a hash of the term, kept up to date by signed deltas.
 
-    Each merge writes a new generation beside the old one and then moves the pointer, so a failed merge leaves the
-    counts as they were. Counts that come to nothing are left out. With no generation yet, the counts are empty.
+    A merge reads and writes only the buckets that its deltas touch: it adds them up in a new folder and then moves the
+    pointer, a small file that tells the folder of each bucket, so a merge that fails leaves the counts as they were, and
+    of two at once one fails. Buckets that are replaced go with the next merge, so who reads them now can finish. Counts that
+    come to nothing are left out. Opened again on its folder, the counts are those of the last merge; without one they are empty. ``buckets``
+    is fixed by the first merge.
     """
 
-    def __init__(self, spark: SparkSession, path: str | None = None, buckets: int = 16) -> None:
-        self.spark, self.path, self.buckets, self.generation = spark, path or shared_folder(spark, "term-counts"), buckets, 0
+    def __init__(self, spark: SparkSession, path: str | None = None, buckets: int = 64) -> None:
+        self.spark, self.path = spark, path or shared_folder(spark, "term-counts")
+        self.pointer = Pointer(spark, self.path, "buckets")
+        self.state = self.pointer.load({"buckets": buckets, "merges": 0, "folders": {}})
+
+    def _read(self, buckets: list[str] | None = None) -> DataFrame:
+        folders = self.state["folders"]
+        paths = [f"{self.path}/{f}/bucket={b}" for b, f in folders.items() if buckets is None or b in buckets]
+        return self.spark.read.schema(COUNTS).parquet(*paths) if paths else self.spark.createDataFrame([], COUNTS)
 
     def counts(self) -> DataFrame:
         """field_name, term, occurrences, records; the row of a field with a null term has its number of records."""
-        if not self.generation:
-            return self.spark.createDataFrame([], COUNTS)
-        return self.spark.read.schema(COUNTS + ", bucket int").parquet(f"{self.path}/{self.generation}").select("field_name", "term", "occurrences", "records")
+        return self._read()
 
     def merge(self, *deltas: DataFrame) -> TermCounts:
         """Add signed deltas to the counts."""
-        parts = [*([self.counts()] if self.generation else []), *deltas]
-        both = reduce(DataFrame.unionByName, parts)
-        # one delta alone already has one row a term
-        new = both if len(parts) == 1 else both.groupBy("field_name", "term").agg(F.sum("occurrences").alias("occurrences"), F.sum("records").alias("records"))
-        new = new.filter("records <> 0 or occurrences <> 0").withColumn("bucket", F.pmod(F.xxhash64("term"), F.lit(self.buckets)).cast("int"))
-        new.write.partitionBy("bucket").parquet(f"{self.path}/{self.generation + 1}")
-        self.generation += 1
+        number = self.state["merges"] + 1
+        placed = reduce(DataFrame.unionByName, deltas).withColumn("bucket", F.pmod(F.xxhash64("term"), F.lit(self.state["buckets"])).cast("int"))
+        old, touched = self.state["folders"], None
+        if old:  # which buckets the change touches: at most as many rows as there are buckets
+            placed = written(placed, "term-deltas")
+            touched = [str(r["bucket"]) for r in placed.select("bucket").distinct().collect()]
+            known = self._read(touched).withColumn("bucket", F.pmod(F.xxhash64("term"), F.lit(self.state["buckets"])).cast("int"))
+            placed = placed.unionByName(known)
+        if old or len(deltas) > 1:
+            placed = placed.groupBy("field_name", "term", "bucket").agg(F.sum("occurrences").alias("occurrences"), F.sum("records").alias("records"))
+        new = f"m{number}"
+        remove(self.spark, f"{self.path}/{new}")  # of a merge that failed
+        placed.filter("records <> 0 or occurrences <> 0").write.partitionBy("bucket").parquet(f"{self.path}/{new}")
+        made = {n.removeprefix("bucket=") for n in names_in(self.spark, f"{self.path}/{new}") if n.startswith("bucket=")}
+        folders = {b: f for b, f in old.items() if touched is None or b not in touched} | {b: new for b in made}
+        replaced = [f"{f}/bucket={b}" for b, f in old.items() if folders.get(b) != f]
+        state = {"buckets": self.state["buckets"], "merges": number, "folders": folders, "replaced": replaced}
+        gone = self.state.get("replaced", [])
+        self.pointer.store(state)
+        self.state = state
+        for part in gone:
+            remove(self.spark, f"{self.path}/{part}")
         return self
 
 
@@ -136,6 +159,10 @@ def postings(df: DataFrame, id_col: str, text_col: str, min_tf: int = 1) -> Data
     return rows.mapInArrow(_posting_batches(min_tf), f"__id {kind}, term string, tf bigint, doc_length bigint").withColumnRenamed("__id", id_col)
 
 
+# A term of more than one in so many records is common: of terms counted in records of n terms on average there are at most COMMON n.
+COMMON = 4096
+
+
 def distinctive_terms(df: DataFrame, id_col: str, text_col: str, min_tf: int = 1, records: tuple[int, int | None] = (1, None), k1: float = 1.2, b: float = 0.75) -> DataFrame:
     """How characteristic each term is of its record: ``id_col``, term, tf, records, score.
 
@@ -144,17 +171,30 @@ def distinctive_terms(df: DataFrame, id_col: str, text_col: str, min_tf: int = 1
     lengths in terms. N, n and avgdl are of all records. Given ``min_tf`` and ``records`` (least and most n), only such
     terms come out. Records with a null or empty text have no terms and give no row; records with equal ids are scored
     each by itself; the score ties where tf, n and length are equal. Columns of ``df`` besides the two are not used.
+
+    Terms of more than one in COMMON records, whose postings are most of all, get their n from a broadcast table of bounded
+    size and are not shuffled; no key of the join that the others meet in has more than one in COMMON of the records.
     """
-    counts = term_deltas(df.select(F.lit(1).alias("sign"), F.col(f"`{text_col}`")), text_col)
+    counts = written(term_deltas(df.select(F.lit(1).alias("sign"), F.col(f"`{text_col}`")), text_col), "counts")
+    n_records = counts.filter("term is null").agg(F.coalesce(F.sum("records"), F.lit(0))).first()[0]
+    n_terms = counts.filter("term is not null").agg(F.coalesce(F.sum("occurrences"), F.lit(0))).first()[0]
     least, most = records
-    terms = counts.filter(F.col("term").isNotNull() & (F.col("records") >= least))
+    terms = counts.filter(F.col("term").isNotNull() & (F.col("records") >= least)).select("term", "records")
     if most is not None:
         terms = terms.filter(F.col("records") <= most)
-    # scalar subqueries: run only if the score is asked for
-    n_records = counts.filter("term is null").agg(F.coalesce(F.sum("records"), F.lit(0))).scalar()
-    n_terms = counts.filter("term is not null").agg(F.coalesce(F.sum("occurrences"), F.lit(0))).scalar()
-    rows = postings(df, id_col, text_col, min_tf).join(terms.select("term", "records"), "term")
+    met = postings(df, id_col, text_col, min_tf)
+    often = F.col("records") * COMMON > n_records
+    if most is not None and most <= COMMON:  # no term of few records is a burden
+        rows = met.join(terms, "term")
+    else:
+        common = counts.filter(F.col("term").isNotNull() & often).select("term", F.col("records").alias("__n"))
+        looked = met.join(F.broadcast(common), "term", "left")
+        if min_tf == 1:
+            looked = written(looked, "postings")  # read twice
+        own = looked.filter("__n is not null").withColumnRenamed("__n", "records").filter(F.col("records") >= least)
+        own = own if most is None else own.filter(F.col("records") <= most)
+        rows = own.unionByName(looked.filter("__n is null").drop("__n").join(terms.filter(~often), "term"))
     n, tf = F.col("records").cast("double"), F.col("tf").cast("double")
     idf = F.log1p((n_records - n + 0.5) / (n + 0.5))
-    score = idf * tf * (k1 + 1) / (tf + k1 * (1 - b + b * F.col("doc_length") * n_records / n_terms))
+    score = idf * tf * (k1 + 1) / (tf + k1 * (1 - b + b * F.col("doc_length") * n_records / max(1, n_terms)))
     return rows.select(id_col, "term", "tf", "records", score.alias("score"))
