@@ -5,14 +5,16 @@ first; then each family's constructs are looked for, those that only one family
 star or number sign that begins a line is a list of a wiki page if the page is one, a pair of quotes closes a quotation of
 LaTeX. Conversion turns the text into blocks (heading, paragraph, item, code, table, formula), each without its signs.
 
-Differencing pages by nearest address, as sometimes proposed for this, removes lines that pages share; it can neither
-find markup within a page's own lines nor keep its structure, so constructs are parsed instead.
+Differencing pages by nearest address, the method named for this, is ``differenced``: it removes lines that neighbouring pages
+share. It can neither find markup within a page's own lines nor keep its structure, so the families and the clean text
+come from parsed constructs instead; README has its figures.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -32,7 +34,7 @@ _TAG = re.compile(rf"<!--.*?(?:-->|$)|<!doctype[^>]*>|<(/?)({'|'.join(sorted(_EL
 _ENTITY = re.compile(r"&(?:#\d{1,7}|#x[0-9a-f]{1,6}|[a-z][a-z0-9]{1,30});", re.I)
 # Code, where signs mean nothing else.
 _CODE = re.compile(
-    r"(?P<md>^(?P<f>`{3,}|~{3,})[^\n]*\n.*?(?:^(?P=f)[ \t]*$|\Z))|(?P<wiki>\{code[^}\n]*\}.*?(?:\{code\}|\Z)|\{noformat\}.*?(?:\{noformat\}|\Z)|<(?:syntaxhighlight|source|nowiki)[^>]*>.*?</(?:syntaxhighlight|source|nowiki)>)"
+    r"(?P<md>^(?P<f>`{3,}|~{3,})[^\n]*\n.*?(?:^(?P=f)[ \t]*$|\Z))|(?P<wiki>\{code[^}\n]*\}.*?(?:\{code\}|\Z)|\{noformat\}.*?(?:\{noformat\}|\Z)|<(?P<w>syntaxhighlight|nowiki)[^>]*>.*?(?:</(?P=w)>|\Z)|<source lang[^>]*>.*?(?:</source>|\Z))"
     r"|(?P<tex>\\begin\{(?P<e>verbatim|lstlisting|minted)\*?\}.*?(?:\\end\{(?P=e)\*?\}|\Z))|(?P<html><pre[^>]*>.*?(?:</pre>|\Z))",
     re.S | re.M | re.I,
 )
@@ -56,6 +58,17 @@ _MARKDOWN_SHARED = re.compile(r"^#{1,6}[ \t]+\S|^>[ \t]\S|(?<![\w*])\*[^\s*][^*\
 _ANY = re.compile(r"[<&\\$`*_\[\]{}#=|~>']|^h[1-6]\.", re.M)
 
 
+# What a text must hold for a pattern to be met at all: looking for it is far cheaper than the pattern.
+_SIGNS_LATEX = ("\\", "$", "``")
+_SIGNS_WIKI = ("==", "[[", "]]", "{{", "}}", "'''", "|", "{code", "{noformat}", "[http", "<", "#redirect", "h1.", "h2.", "h3.", "h4.", "h5.", "h6.")  # of the text in lower case
+_SIGNS_MARKDOWN = ("**", "__", "`", "](", "][", "]:", "~~", "---", "====")
+_SIGNS_SHARED = ("#", ">", "*", "_")
+
+
+def _holds(text: str, signs: tuple[str, ...]) -> bool:
+    return any(s in text for s in signs)
+
+
 def found(text: str | None) -> list[str]:
     """The families of which ``text`` holds a construct, in the order of FAMILIES; none for a null or empty text."""
     if not text or not _ANY.search(text):
@@ -67,14 +80,14 @@ def found(text: str | None) -> list[str]:
         return "\n"
 
     rest = _CODE.sub(aside, text) if "{" in text or "<" in text or "```" in text or "~~~" in text else text
-    latex = "tex" in regions or bool(_LATEX.search(rest))
-    wiki = "wiki" in regions or bool(_WIKI.search(rest)) or (not latex and bool(_WIKI_ITALIC.search(rest)))
+    latex = "tex" in regions or _holds(rest, _SIGNS_LATEX) and bool(_LATEX.search(rest))
+    wiki = "wiki" in regions or _holds(rest.lower(), _SIGNS_WIKI) and bool(_WIKI.search(rest)) or (not latex and "''" in rest and bool(_WIKI_ITALIC.search(rest)))
     if latex and wiki and not re.search(r"^={2,6} |^h[1-6]\. |\[\[|'''|^\{\|", rest, re.M):
         wiki = False  # braces and brackets that LaTeX explains
-    markdown = "md" in regions or bool(_MARKDOWN.search(rest)) or (not wiki and not latex and bool(_MARKDOWN_SHARED.search(rest)))
+    markdown = "md" in regions or _holds(rest, _SIGNS_MARKDOWN) and bool(_MARKDOWN.search(rest)) or (not wiki and not latex and _holds(rest, _SIGNS_SHARED) and bool(_MARKDOWN_SHARED.search(rest)))
     if markdown and (wiki or latex) and "md" not in regions and not re.search(r"\*\*[^\s*]|\]\(|^\|?[ \t]*:?-{3,}", rest, re.M):
         markdown = False
-    html = "html" in regions or bool(_TAG.search(rest)) or any(entities.unescape(m) != m for m in _ENTITY.findall(rest))
+    html = "html" in regions or "<" in rest and bool(_TAG.search(rest)) or "&" in rest and any(entities.unescape(m) != m for m in _ENTITY.findall(rest))
     return [name for name, is_it in zip(FAMILIES, (html, markdown, wiki, latex), strict=True) if is_it]
 
 
@@ -157,8 +170,9 @@ def _latex(text: str) -> str:
         t = re.sub(r"\\(?:begin|end)\{[^{}]*\}(?:\[[^\]]*\])?", "\n", t)
         t = re.sub(r"~?\\(?:cite|ref|eqref|pageref|label|footnote|bibliography\w*|usepackage|documentclass)\*?(?:\[[^\]]*\])?\{[^{}]*\}", "", t)
         t = re.sub(r"\\href\{[^{}]*\}\{([^{}]*)\}", r"\1", t)
-        for _ in range(3):
-            t = re.sub(r"\\[a-zA-Z]+\*?(?:\[[^\]]*\])?\{([^{}]*)\}", r"\1", t)
+        unwrapped = 1
+        while unwrapped:  # from the inmost out, each time shorter
+            t, unwrapped = re.subn(r"\\[a-zA-Z]+\*?(?:\[[^\]]*\])?\{([^{}]*)\}", r"\1", t)
         t = re.sub(r"\\\\(?=\s|$)|(?<![\w:\\])\\(?:hline|maketitle|centering|noindent|newline|bigskip|medskip|smallskip)\b", "", t)
         kept[i] = re.sub(r"\\([%&$#_{}])", r"\1", t).replace("``", "“").replace("''", "”").replace("~", " ")
     return _FORMULA.join(kept)
@@ -207,6 +221,18 @@ def plain(parts: list[dict] | None) -> str | None:
     return "\n".join(("- " if b["kind"] == "item" else "") + b["text"] for b in parts)
 
 
+def markup_families(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``id_col`` and markup (array of families found) of every row, without conversion; as clean_markup otherwise."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([found(t) for t in batch.column(1).to_pylist()], pa.list_(pa.string()))], ["__id", "markup"])
+
+    kind = dict(df.dtypes)[id_col]
+    rows = df.select(F.col(f"`{id_col}`").alias("__id"), F.col(f"`{text_col}`").cast("string"))
+    return rows.mapInArrow(run, f"__id {kind}, markup array<string>").withColumnRenamed("__id", id_col)
+
+
 def clean_markup(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``id_col``, markup (array of families found), blocks (array of kind, level, text) and clean (the text) of every row.
 
@@ -227,3 +253,70 @@ def clean_markup(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     kind = dict(df.dtypes)[id_col]
     rows = df.select(F.col(f"`{id_col}`").alias("__id"), F.col(f"`{text_col}`").cast("string"))
     return rows.mapInArrow(run, f"__id {kind}, markup array<string>, blocks array<struct<kind:string,level:int,text:string>>, clean string").withColumnRenamed("__id", id_col)
+
+
+def common_lines(a: list[str], b: list[str]) -> set[int]:
+    """The places in ``a`` of a longest common subsequence of the lines of two pages."""
+    at: dict[str, list[int]] = {}
+    for j, line in enumerate(b):
+        at.setdefault(line, []).append(j)
+    ends: list[int] = []  # of the common subsequences of each length the smallest last place in b
+    last: list[tuple] = []  # their last pair, and the pair before it
+    for i, line in enumerate(a):
+        for j in reversed(at.get(line, ())):
+            k = bisect_left(ends, j)
+            pair = (i, last[k - 1] if k else None)
+            if k == len(ends):
+                ends.append(j)
+                last.append(pair)
+            else:
+                ends[k], last[k] = j, pair
+    found, pair = set(), last[-1] if last else None
+    while pair:
+        found.add(pair[0])
+        pair = pair[1]
+    return found
+
+
+def differenced(df: DataFrame, id_col: str, text_col: str, url_col: str) -> DataFrame:
+    """``id_col``, text without the lines that the page's neighbour by address shares with it, and removed, their number, of each web page.
+
+    Within a host pages are ordered by path, and each is aligned with the one before it, the first with the one behind it. A page that
+    is alone keeps its lines; equal addresses are neighbours. Rows without an address of http or with a null text give no row; an empty
+    text stays. Pages are ranged over the partitions by host and path, so a large host is no one task's work; the first page of a
+    partition is compared with the one behind it.
+    """
+    kind = dict(df.dtypes)[id_col]
+    url = F.col(f"`{url_col}`").cast("string")
+    host, path = F.lower(F.regexp_extract(url, r"(?i)^\s*https?://([^/?#:\s]+)", 1)), F.regexp_extract(url, r"(?i)^\s*https?://[^/?#]+([^?#]*)", 1)
+    pages = df.select(F.col(f"`{id_col}`").alias("__id"), F.col(f"`{text_col}`").cast("string").alias("text"), host.alias("host"), path.alias("path")).filter("host <> '' and text is not null")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []  # the page before, and if it is the first of its host, that it waits
+
+        def made(rows: list[tuple]) -> pa.RecordBatch:
+            out = []
+            for page, other in rows:
+                lines = page[1].split("\n")
+                gone = common_lines(lines, other[1].split("\n")) if other else set()
+                gone = {i for i in gone if lines[i].strip()}
+                out.append((page[0], "\n".join(x for i, x in enumerate(lines) if i not in gone), len(gone)))
+            return pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], batch.schema.field(0).type), pa.array([x[1] for x in out], pa.string()), pa.array([x[2] for x in out], pa.int32())], ["__id", "text", "removed"])
+
+        for batch in batches:
+            rows = []
+            for page in zip(*(batch.column(c).to_pylist() for c in ("__id", "text", "host")), strict=True):
+                before, waits = held[0] if held else (None, False)
+                same = before is not None and before[2] == page[2]
+                if waits:
+                    rows.append((before, page if same else None))
+                if same:
+                    rows.append((page, before))
+                held = [(page, not same)]
+            if rows:
+                yield made(rows)
+        if held and held[0][1]:
+            yield made([(held[0][0], None)])
+
+    rows = pages.repartitionByRange("host", "path", "__id").sortWithinPartitions("host", "path", "__id")
+    return rows.select("__id", "text", "host").mapInArrow(run, f"__id {kind}, text string, removed int").withColumnRenamed("__id", id_col)
