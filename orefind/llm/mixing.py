@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from orefind.llm.tokens import encoder, vocabulary_path
+from orefind.sources.shared import written
 
 
 def apportion(weights: dict, seats: int) -> dict:
@@ -52,61 +53,88 @@ def token_sizes(df: DataFrame, id_col: str, text_col: str, keep: list[str], path
     return rows.mapInArrow(run, ", ".join(f"`{c}` {kinds[c]}" for c in (id_col, *keep)) + ", tokens bigint")
 
 
-def source_report(sizes: DataFrame, targets: DataFrame) -> DataFrame:
-    """For each source of ``targets``: source, target_share, max_repeats, tokens, all_tokens, wanted_tokens, reachable.
+def source_tokens(sizes: DataFrame) -> DataFrame:
+    """source, tokens, records: one row a source, written, so that what is asked of the sources reads no text again."""
+    return written(sizes.groupBy("source").agg(F.sum("tokens").alias("tokens"), F.count("*").alias("records")), "sources")
+
+
+def source_report(own: DataFrame, targets: DataFrame) -> DataFrame:
+    """For each source of ``targets``: source, target_share, max_repeats, tokens, all_tokens, wanted_tokens, reachable; ``own`` is source_tokens.
 
     A source without records has 0 tokens. reachable is false where target_share times the tokens of all records, those of
     sources without a target included, is more than max_repeats times the source's tokens. A null share counts as 0, a
     null or negative max_repeats as 0. Repeated rows of ``targets`` count once.
     """
-    own = sizes.groupBy("source").agg(F.sum("tokens").alias("tokens"))
-    whole = own.agg(F.coalesce(F.sum("tokens"), F.lit(0))).scalar()
+    whole = own.agg(F.coalesce(F.sum("tokens"), F.lit(0)).cast("bigint").alias("all_tokens"))
     wanted = targets.select("source", F.coalesce("target_share", F.lit(0.0)).alias("target_share"), F.greatest(F.coalesce("max_repeats", F.lit(0)), F.lit(0)).cast("bigint").alias("max_repeats")).dropDuplicates(["source"])
-    rows = wanted.join(own, "source", "left").withColumn("tokens", F.coalesce("tokens", F.lit(0).cast("bigint")))
-    rows = rows.withColumn("all_tokens", whole.cast("bigint")).withColumn("wanted_tokens", F.col("target_share") * F.col("all_tokens"))
+    rows = wanted.join(own.select("source", "tokens"), "source", "left").withColumn("tokens", F.coalesce("tokens", F.lit(0).cast("bigint")))
+    rows = rows.join(F.broadcast(whole)).withColumn("wanted_tokens", F.col("target_share") * F.col("all_tokens"))  # one row
     return rows.withColumn("reachable", F.col("wanted_tokens") <= F.col("max_repeats") * F.col("tokens"))
 
 
+def source_quotas(own: DataFrame, targets: DataFrame, blocks: int = 20_000) -> DataFrame:
+    """source_report with blocks (the mixture's in all), quota (those that Sainte-Laguë gives the source by target_share) and most (those
+    that its tokens fill, each taken max_repeats times, a last part of one counted as one).
+
+    A quota is less than a block away from what is wanted or, of many sources, a few: a source whose quota comes near ``most``, or is
+    beyond it, can't reach its target or is checked by its tokens, which is what ``reachable`` says. Targets are a row a source that is to be mixed.
+    """
+    rows = [r.asDict() for r in source_report(own, targets).collect()]
+    schema = "source string, target_share double, max_repeats bigint, tokens bigint, all_tokens bigint, wanted_tokens double, reachable boolean, blocks bigint, quota bigint, most bigint"
+    whole = rows[0]["all_tokens"] if rows else 0
+    blocks = min(blocks, whole)
+    shares = {r["source"]: r["target_share"] for r in rows}
+    # shares may leave a part to nobody, and need not add up to 1
+    quota = apportion(shares | {"": max(0.0, 1 - sum(shares.values()))}, round(blocks * max(1.0, sum(shares.values()))))
+    near = len(rows) + 2
+    for r in rows:
+        r["blocks"], r["quota"] = blocks, quota[r["source"]]
+        r["most"] = -(-r["max_repeats"] * r["tokens"] * blocks // whole) if whole else 0
+        r["reachable"] = r["reachable"] if r["quota"] + near > r["most"] else True
+    return own.sparkSession.createDataFrame([tuple(r[c.split()[0]] for c in schema.split(", ")) for r in rows], schema)
+
+
 def mixture(sizes: DataFrame, targets: DataFrame, id_col: str, blocks: int = 20_000, shard_tokens: int = 1 << 26, seed: int = 7) -> DataFrame:
     """``id_col``, source, tokens, copies: how often each record stands in the mixture, records with no copy left out.
 
     The mixture is as large as all records together, in ``blocks`` blocks of equal tokens. Sainte-Laguë gives each
-    source its blocks by target_share, and none beyond its tokens times max_repeats; what a source can't give isn't
-    given to others. A source's blocks go to its shards, of about ``shard_tokens`` each, by their tokens; a shard's blocks
+    source its blocks by target_share. A source that can't reach its target gives all its records max_repeats times; what it can't
+    give isn't given to others. Another source's blocks go to its shards, of about ``shard_tokens`` each, by their tokens; a shard's blocks
     are taken in seeded order, all of them before any a second time. Records without tokens have no copy. Records of
     equal id and source are ordered as one and share their copies. What reaches the driver is a row a source and shard.
     """
-    known = {r["source"]: r for r in source_report(sizes, targets).collect() if r["tokens"]}
+    plan = source_quotas(source_tokens(sizes), targets, blocks)
+    known = {r["source"]: r for r in plan.collect() if r["tokens"]}
     if not known:
         return sizes.select(id_col, "source", "tokens", F.lit(0).cast("bigint").alias("copies")).limit(0)
-    whole = next(iter(known.values()))["all_tokens"]
-    blocks = min(blocks, whole)
+    whole, blocks = next(iter(known.values()))["all_tokens"], next(iter(known.values()))["blocks"]
     spark, size = sizes.sparkSession, whole / blocks
-    cuts = spark.createDataFrame([(s, max(1, -(-r["tokens"] // shard_tokens))) for s, r in known.items()], "source string, __shards bigint")
+    full = spark.createDataFrame([(s, r["max_repeats"]) for s, r in known.items() if not r["reachable"]], "source string, copies bigint")
+    every = sizes.filter("tokens > 0").join(F.broadcast(full), "source").filter("copies > 0").select(id_col, "source", "tokens", "copies")
+    cuts = spark.createDataFrame([(s, max(1, -(-r["tokens"] // shard_tokens))) for s, r in known.items() if r["reachable"]], "source string, __shards bigint")
     placed = sizes.filter("tokens > 0").join(F.broadcast(cuts), "source").withColumn("__shard", F.pmod(F.xxhash64(F.col(id_col), F.lit(seed)), F.col("__shards"))).drop("__shards")
     order = Window.partitionBy("source", "__shard").orderBy(F.xxhash64(F.col(id_col), F.lit(seed + 1)), F.col(id_col))
     middle = F.sum("tokens").over(order) - F.col("tokens") / 2
-    placed = placed.withColumn("__block", F.floor(middle / size))
-    shares = {s: r["target_share"] for s, r in known.items()}
-    quota = apportion(shares | {"": max(0.0, 1 - sum(shares.values()))}, blocks)
     parts: dict[str, dict[int, int]] = {}
     for r in placed.groupBy("source", "__shard").agg(F.sum("tokens").alias("tokens")).collect():
         parts.setdefault(r["source"], {})[r["__shard"]] = r["tokens"]
+    placed = placed.withColumn("__block", F.floor(middle / size))
     rows = []
     for s, own in parts.items():
         most = known[s]["max_repeats"]
-        for shard, q in apportion(own, min(quota[s], int(most * sum(own.values()) / size))).items():
+        for shard, q in apportion(own, min(known[s]["quota"], known[s]["most"])).items():
             times, rest = divmod(min(q * size, most * own[shard]), own[shard])
             rows.append((s, shard, int(times), round(rest / size)))
-    plan = spark.createDataFrame(rows, "source string, __shard bigint, __whole bigint, __rest bigint")
+    chosen = spark.createDataFrame(rows, "source string, __shard bigint, __whole bigint, __rest bigint")
     copies = F.col("__whole") + F.when(F.col("__block") < F.col("__rest"), 1).otherwise(0)
-    out = placed.join(F.broadcast(plan), ["source", "__shard"]).withColumn("copies", copies.cast("bigint"))
-    return out.filter("copies > 0").select(id_col, "source", "tokens", "copies")
+    out = placed.join(F.broadcast(chosen), ["source", "__shard"]).withColumn("copies", copies.cast("bigint"))
+    return out.filter("copies > 0").select(id_col, "source", "tokens", "copies").unionByName(every)
 
 
 def mixture_shares(mixed: DataFrame, report: DataFrame) -> DataFrame:
     """source, target_share, tokens, max_repeats, reachable, mixed_tokens, actual_share of each source of the targets; actual_share is of the mixture."""
     own = mixed.groupBy("source").agg(F.sum(F.col("tokens") * F.col("copies")).alias("mixed_tokens"))
+    own = written(own, "mixed")
     whole = own.agg(F.sum("mixed_tokens")).scalar()
     rows = report.join(own, "source", "left").withColumn("mixed_tokens", F.coalesce("mixed_tokens", F.lit(0).cast("bigint")))
     return rows.select("source", "target_share", "tokens", "max_repeats", "reachable", "mixed_tokens", F.coalesce(F.col("mixed_tokens") / whole, F.lit(0.0)).alias("actual_share"))
