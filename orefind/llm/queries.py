@@ -43,7 +43,7 @@ def p2_groups(spark: SparkSession, d: str) -> DataFrame:
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     """Rows and the families of markup that their contents hold."""
-    return markup.clean_markup(_table(spark, d, "stored_docs"), "doc_no", "contents").select("doc_no", F.explode("markup").alias("markup"))
+    return markup.markup_families(_table(spark, d, "stored_docs"), "doc_no", "contents").select("doc_no", F.explode("markup").alias("markup"))
 
 
 def p3_clean(spark: SparkSession, d: str) -> DataFrame:
@@ -51,6 +51,11 @@ def p3_clean(spark: SparkSession, d: str) -> DataFrame:
     return markup.clean_markup(_table(spark, d, "stored_docs"), "doc_no", "contents").select("doc_no", "blocks", "clean")
 
 
+def p3_differenced(spark: SparkSession, d: str) -> DataFrame:
+    """Web pages without the lines that they share with the nearest page of their host."""
+    return markup.differenced(_table(spark, d, "stored_docs"), "doc_no", "contents", "url")
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     """Terms that occur at least 4 times in a row's contents and in those of 2 to 6 rows."""
     return terms.distinctive_terms(_table(spark, d, "stored_docs"), "doc_no", "contents", min_tf=4, records=(2, 6)).select("doc_no", "term")
@@ -69,6 +74,22 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return rows.filter("mark is not null").select("field_name", "term", "mark")
 
 
+def p6_deltas(spark: SparkSession, d: str) -> DataFrame:
+    """The counts of contents and filenames of each document as last delivered, brought about by deltas: first deliveries are added, later
+    ones replace what they change, and documents without contents are deleted."""
+    rows = _table(spark, d, "stored_docs").select("index_id", "doc_key", "doc_no", "indexed_at", "contents", "filename")
+    place = F.struct("indexed_at", "doc_no")
+    ends = rows.groupBy("index_id", "doc_key").agg(F.min(place).alias("first"), F.max(place).alias("last"))
+    rows = rows.withColumn("place", place).join(ends, [rows.index_id.eqNullSafe(ends.index_id), rows.doc_key.eqNullSafe(ends.doc_key)]).select("place", "first", "last", "contents", "filename")
+    first, last = rows.filter("place = first"), rows.filter("place = last")
+    signed = lambda df, sign: df.select("contents", "filename", F.lit(sign).alias("sign"))
+    both = lambda df: (terms.term_deltas(df, "contents"), terms.value_deltas(df, "filename"))
+    state = terms.TermCounts(spark).merge(*both(signed(first, 1)))
+    state.merge(*both(signed(first.filter("first <> last"), -1).unionByName(signed(last.filter("first <> last"), 1))))
+    state = terms.TermCounts(spark, state.path).merge(*both(signed(last.filter("contents is null"), -1)))
+    return state.counts().select("field_name", "term", "occurrences", "records")
+
+
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
     """Rows whose contents show characters of a wrong decoding."""
     return garbled.repair_text(_table(spark, d, "stored_docs"), "doc_no", "contents").filter("garbled").select("doc_no")
@@ -90,7 +111,7 @@ def _sizes(spark: SparkSession, d: str) -> DataFrame:
 
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
     """Sources that can't reach their target."""
-    return mixing.source_report(_sizes(spark, d), _table(spark, d, "mix_targets")).filter("not reachable").select("source")
+    return mixing.source_quotas(mixing.source_tokens(_sizes(spark, d)), _table(spark, d, "mix_targets")).filter("not reachable").select("source")
 
 
 def p9_mixture(spark: SparkSession, d: str) -> DataFrame:
@@ -101,7 +122,7 @@ def p9_mixture(spark: SparkSession, d: str) -> DataFrame:
 def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     """Target and actual shares of the mixture."""
     sizes, targets = written(_sizes(spark, d), "sizes"), _table(spark, d, "mix_targets")
-    return mixing.mixture_shares(mixing.mixture(sizes, targets, "doc_id"), mixing.source_report(sizes, targets))
+    return mixing.mixture_shares(mixing.mixture(sizes, targets, "doc_id"), mixing.source_report(mixing.source_tokens(sizes), targets))
 
 
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
@@ -109,7 +130,7 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
     return subjects.subjects(*(_table(spark, d, t) for t in ("documents", "subject_areas", "subject_labels")), "doc_id", "text", "lang").select("doc_id", "subject")
 
 
-_QUERIES = (p1_found, p1_body, p2_found, p2_groups, p3_found, p3_clean, p4_found, p4_scores, p6_found, p7_found, p7_restored, p8_ids, p9_found, p9_mixture, p9_shares, p10_found)
+_QUERIES = (p1_found, p1_body, p2_found, p2_groups, p3_found, p3_clean, p3_differenced, p4_found, p4_scores, p6_found, p6_deltas, p7_found, p7_restored, p8_ids, p9_found, p9_mixture, p9_shares, p10_found)
 
 
 def queries() -> dict:
