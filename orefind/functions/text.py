@@ -17,7 +17,8 @@ ALIASES = {
 }
 # A word keeps apostrophes, dots and colons between letters, and dots and commas between digits.
 TOKEN = r"[\p{L}\p{M}\p{N}_]+(?:['’.:·][\p{L}\p{M}_]+|[.,;'][\p{N}]+)*"
-CONTEXT_STOP_WORDS = "the and for with that this are was were has have not but from they you his her its".split()
+# Words of a search that say nothing of a passage.
+CONTEXT_STOP_WORDS = "the a an and or but is in on at to for with by about as of this that".split()
 SUMMARY = 200
 
 
@@ -141,25 +142,41 @@ def extension_allowed(name: Column, patterns: list[str]) -> Column:
     return passes
 
 
+def without_default_port(root: Column) -> Column:
+    """Scheme and host of an address without the port that its scheme has anyway."""
+    return F.regexp_replace(F.regexp_replace(root, r"(?i)^(http://.*):80$", "$1"), r"(?i)^(https://.*):443$", "$1")
+
+
+def _parts(url: Column) -> tuple[Column, Column, Column]:
+    """Scheme with host and port, path, and what is behind it."""
+    shape = r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)([^?#]*)(.*)$"
+    return without_default_port(F.regexp_extract(url, shape, 1)), F.regexp_extract(url, shape, 2), F.regexp_extract(url, shape, 3)
+
+
 def directory_of(url: Column) -> Column:
-    """The directory of an address: up to its last slash, behind which a name with a dot stands; no trailing slash."""
-    cut = F.regexp_replace(F.regexp_replace(url, r"[?#].*$", ""), r"/[^/]*\.[^/]*$", "/")
-    root = F.regexp_extract(url, r"^(https?://[^/?#]+)", 1)
-    return F.regexp_replace(F.when(F.length(cut) < F.length(root), root).otherwise(cut), r"/+$", "")
+    """The directory of an address, with a slash behind it. A path without a dot is a directory itself, and one that ends in a slash
+    stays as it is, its query included; of another path it is what stands before the last slash before the last dot. What is no
+    address stays."""
+    root, path, rest = _parts(url)
+    own = F.when(path.contains("."), F.regexp_replace(F.regexp_replace(path, r"\.[^.]*$", ""), r"[^/]*$", "")).otherwise(F.concat(path, F.when(F.endswith(path, F.lit("/")), rest).otherwise("/")))
+    return F.when(root == "", url).otherwise(F.concat(root, own))
 
 
 def joined_url(base: Column, path: Column) -> Column:
-    """``base`` and ``path`` with one slash between; ``path`` alone if it starts with ``base`` already, whatever the case."""
-    b, p = F.regexp_replace(F.coalesce(base, F.lit("")), r"\\", "/"), F.regexp_replace(F.coalesce(path, F.lit("")), r"\\", "/")
-    return F.when((b == "") | F.startswith(F.lower(p), F.lower(b)), p).when(p == "", b).otherwise(F.concat(F.regexp_replace(b, "/+$", ""), F.lit("/"), F.regexp_replace(p, "^/+", "")))
+    """``base`` and ``path`` with one slash between; ``path``, without the slash before it, alone if it starts with ``base`` already,
+    whatever the case. One that is empty or null leaves the other as it is; backslashes become slashes."""
+    b, p = F.coalesce(base, F.lit("")), F.coalesce(path, F.lit(""))
+    short = F.regexp_replace(F.regexp_replace(p, r"\\", "/"), "^/", "")
+    root = F.regexp_replace(F.regexp_replace(b, r"\\", "/"), "/$", "")
+    return F.when(b == "", p).when(p == "", b).when(F.startswith(F.lower(short), F.lower(root)), short).otherwise(F.concat(root, F.lit("/"), short))
 
 
 def normal_url(url: Column) -> Column:
-    """An address as a crawler compares it: no fragment, no default port, a slash behind a bare host or directory."""
-    bare = F.regexp_replace(F.trim(url), r"#.*$", "")
-    port = F.regexp_replace(F.regexp_replace(bare, r"(?i)^(http://[^/:]+):80(?=/|$)", "$1"), r"(?i)^(https://[^/:]+):443(?=/|$)", "$1")
-    lower = F.concat(F.lower(F.regexp_extract(port, r"^([^:]+://[^/]*)", 1)), F.regexp_extract(port, r"^[^:]+://[^/]*(.*)$", 1))
-    return F.when(lower.rlike(r"^[^:]+://[^/?]+$"), F.concat(lower, F.lit("/"))).when(lower.rlike(r"/[^/.?]+$"), F.concat(lower, F.lit("/"))).otherwise(lower)
+    """An address as a crawler compares it: host in lower case, no default port, no fragment, a slash behind a path without a dot, which is a directory."""
+    root, path, rest = _parts(F.trim(url))
+    query = F.regexp_extract(rest, r"^(\?[^#]*)", 1)
+    own = F.concat(F.lower(root), path, F.when(path.contains(".") | F.endswith(path, F.lit("/")), "").otherwise("/"), query)
+    return F.when(root == "", F.trim(url)).otherwise(own)
 
 
 def host_of(url: Column) -> Column:

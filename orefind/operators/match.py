@@ -9,15 +9,18 @@ expressions run on the documents that its postings point to.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 from dataclasses import replace
 from functools import reduce
 
+import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orefind.functions import criteria as c
 from orefind.functions import text as t
 from orefind.functions.text import tokens
+from orefind.sources.shared import written
 
 K1, B = 1.2, 0.75
 DEFAULT_FIELDS = ("contents", "filename")
@@ -139,12 +142,16 @@ def phrase_frequency(tok: Column, words: list[str], slop: int = 0) -> Column:
     return F.size(F.filter(places, near))
 
 
+_TOKEN = regex.compile(t.TOKEN)
+_CJK = regex.compile(r"[\u3040-\u30ff\u3400-\u9fff\uac00-\ud7af]{2,}")
+
+
 def analysed(text: str, language: str | None = "english") -> list[str]:
-    """The tokens of a few words of a search, made by the same rules as the documents'."""
+    """The tokens of a few words of a search, cut by the expression that cuts the documents."""
     name = t.check_language(language)
-    found = [m.group() for m in re.finditer(r"\w+(?:['’.:·][^\W\d]+|[.,;']\d+)*", text.lower())]
+    found = _TOKEN.findall(text.lower())
     if name in ("japanese", "korean"):
-        return [w[i : i + 2] for w in found for i in range(max(1, len(w) - 1))] if all(re.fullmatch(r"[぀-ヿ㐀-鿿가-힯]+", w) for w in found) else found
+        return [p for w in found for p in ([w[i : i + 2] for i in range(len(w) - 1)] if _CJK.fullmatch(w) else [w])]
     if name in t.STEMS:
         return [_stem(w, t.STEMS[name]) for w in found]
     return found
@@ -154,6 +161,21 @@ def _stem(word: str, pattern: str) -> str:
     return re.sub(pattern, "", word)
 
 
+def _swapped(word: str) -> list[str]:
+    """A word with each two neighbours in turn exchanged."""
+    return [w for i in range(len(word) - 1) if (w := word[:i] + word[i + 1] + word[i] + word[i + 2 :]) != word]
+
+
+def edits(term: Column, word: str) -> Column:
+    """Insertions, deletions, replacements and exchanges of neighbours (up to two of these) between a term and a word."""
+    once = _swapped(word)
+    twice = sorted({w for x in once for w in _swapped(x)} - {word, *once})
+    plain = [F.levenshtein(term, F.lit(word)), *(F.levenshtein(term, F.lit(w)) + 1 for w in once)]
+    if twice:
+        plain.append(F.when(term.isin(twice), 2).otherwise(len(word)))
+    return F.least(*plain) if len(plain) > 1 else plain[0]
+
+
 def expanded(node: object, docs: DataFrame, fields: tuple[str, ...], dictionary: DataFrame | None = None) -> object:
     """The tree with each fuzzy term replaced by the at most FUZZY_TERMS nearest terms that occur, boosted by nearness. Reads the terms once for each."""
     if isinstance(node, c.Bool):
@@ -166,7 +188,7 @@ def expanded(node: object, docs: DataFrame, fields: tuple[str, ...], dictionary:
         terms = dictionary.filter(F.col("field").isin(own)).select("term")
     else:
         terms = docs.select(F.explode(F.array_distinct(F.flatten(F.array(*(_tok(f) for f in own))))).alias("term"))
-    near = terms.filter(F.abs(F.length("term") - len(word)) <= node.edits).distinct().withColumn("d", F.levenshtein(F.col("term"), F.lit(word))).filter(F.col("d") <= node.edits)
+    near = terms.filter(F.abs(F.length("term") - len(word)) <= node.edits).distinct().withColumn("d", edits(F.col("term"), word)).filter(F.col("d") <= node.edits)
     top = near.orderBy("d", "term").limit(FUZZY_TERMS).collect()
     clauses = tuple((c.SHOULD, c.Term(r["term"], node.field, node.boost * (1 - r["d"] / max(1, min(len(word), len(r["term"])))))) for r in top)
     return c.Bool(clauses) if clauses else c.Nothing()
@@ -208,17 +230,30 @@ def ranked(docs: DataFrame, tree: object, fields: tuple[str, ...] = DEFAULT_FIEL
 
 
 def pointed_to(node: object, language: str | None = "english") -> Column | None:
-    """A condition on postings (field, term) that holds for at least one posting of each record that can match; null where every record must be read."""
+    """A condition on postings (field, term) that holds for at least one posting of each record that can match; null where every record
+    must be read. Of clauses that all must hold, and of the words of a phrase, one is enough: the longest word, which tends to be rare."""
     if isinstance(node, c.Bool):
+        must = [inner for role, inner in node.clauses if role == c.MUST]
+        if must:
+            found = sorted(((_longest(inner, language), p) for inner in must if (p := pointed_to(inner, language)) is not None), key=lambda x: -x[0])
+            return found[0][1] if found else None
         parts = [pointed_to(inner, language) for role, inner in node.clauses if role != c.MUST_NOT]
         return _any(parts) if parts and all(p is not None for p in parts) else None if parts else F.lit(False)
     if isinstance(node, (c.Term, c.Phrase)):
-        return F.col("term").isin(analysed(node.text, language))
+        words = analysed(node.text, language)
+        return F.col("term") == max(words, key=len) if words else F.lit(False)
     if isinstance(node, (c.Pattern, c.Range)):
         return holds(F.col("term"), node)
     return F.lit(False) if isinstance(node, c.Nothing) else None
 
 
+def _longest(node: object, language: str | None) -> int:
+    """How long a word each record that matches has for certain; 0 if none is known."""
+    if isinstance(node, (c.Term, c.Phrase)):
+        return max(map(len, analysed(node.text, language)), default=0)
+    return 0
+
+
 def named_fields(node: object) -> set[str]:
     return set(_named(node))
 
@@ -238,6 +273,15 @@ def top(scored: DataFrame, id_col: str, n: int | None, offset: int = 0) -> DataF
     return rows if n is None else rows.limit(n)
 
 
-def with_rank(scored: DataFrame, id_col: str) -> DataFrame:
-    """The rows with rank, from 1 by score; for pages, whose rows are few."""
-    return scored.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("score"), F.asc(id_col))).cast("bigint"))
+def with_rank(rows: DataFrame, order: Iterable[Column], first: int = 1) -> DataFrame:
+    """All rows with their rank in an order, from ``first``. Rows are ranged over partitions by the order and numbered within, and what
+    lies before a partition is added: no task has more than its part. What reaches the driver is a row a partition."""
+    order = list(order)
+    placed = written(rows.repartitionByRange(*order).withColumn("__part", F.spark_partition_id()), "ranked")
+    before, starts = first - 1, []
+    for r in placed.groupBy("__part").agg(F.count("*").alias("n")).orderBy("__part").collect():
+        starts.append((r["__part"], before))
+        before += r["n"]
+    known = rows.sparkSession.createDataFrame(starts, "__part int, __before bigint")
+    own = F.row_number().over(Window.partitionBy("__part").orderBy(*order))
+    return placed.withColumn("__own", own).join(F.broadcast(known), "__part").withColumn("rank", F.col("__own") + F.col("__before")).drop("__part", "__own", "__before")

@@ -13,8 +13,9 @@ from orefind.functions.text import let, plain_tokens, tfidf_tokens
 
 NEIGHBOURS = 100
 DIMENSION = 100
-# The words of the small demonstration embedding.
-DEMO_WORDS = ("search", "index", "document", "server", "java", "python", "web", "data", "vector", "query", "text", "engine")
+# The words of the small demonstration embedding; the eleventh is a product's name, a parameter.
+DEMO_WORDS = ("the", "quick", "brown", "fox", "jumps", "over", "lazy", "dog", "hello", "world", None, "ai")
+PRODUCT = "orefind"
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -35,20 +36,22 @@ def literal(vector: list[float]) -> Column:
     return F.array(*(F.lit(float(x)) for x in vector)) if vector else F.array().cast("array<double>")
 
 
-def nearest(vectors: DataFrame, query: list[float], vector_col: str, id_col: str, k: int = NEIGHBOURS) -> DataFrame:
+def nearest(vectors: DataFrame, query: list[float], vector_col: str, id_cols: str | list[str], k: int = NEIGHBOURS) -> DataFrame:
     """The ``k`` rows nearest to a vector, with score (1 + cosine) / 2; exact, each executor keeping its best ``k``. Ties by id; null vectors have none."""
+    ids = [id_cols] if isinstance(id_cols, str) else id_cols
     scored = vectors.filter(F.col(vector_col).isNotNull()).withColumn("score", vector_score(cosine(F.col(vector_col), literal(query))))
-    return scored.orderBy(F.desc("score"), F.asc(id_col)).limit(k)
+    return scored.orderBy(F.desc("score"), *(F.asc(c) for c in ids)).limit(k)
 
 
-def hybrid(words: DataFrame, vectors: DataFrame, id_col: str, ratio: float = 0.5) -> DataFrame:
-    """``id_col``, score: (1 - ratio) times the score in ``words`` plus ratio times that in ``vectors``, a missing side counting 0."""
+def hybrid(words: DataFrame, vectors: DataFrame, id_cols: str | list[str], ratio: float = 0.5) -> DataFrame:
+    """``id_cols``, score: (1 - ratio) times the score in ``words`` plus ratio times that in ``vectors``, a missing side counting 0."""
     if not 0 <= ratio <= 1:
         raise ValueError("ratio must be between 0 and 1")
-    a = words.select(id_col, F.col("score").alias("__w"))
-    b = vectors.select(id_col, F.col("score").alias("__v"))
-    both = a.join(b, id_col, "full")
-    return both.select(id_col, ((1 - ratio) * F.coalesce("__w", F.lit(0.0)) + ratio * F.coalesce("__v", F.lit(0.0))).alias("score"))
+    ids = [id_cols] if isinstance(id_cols, str) else id_cols
+    a = words.select(*ids, F.col("score").alias("__w"))
+    b = vectors.select(*ids, F.col("score").alias("__v"))
+    both = a.join(b, ids, "full")
+    return both.select(*ids, ((1 - ratio) * F.coalesce("__w", F.lit(0.0)) + ratio * F.coalesce("__v", F.lit(0.0))).alias("score"))
 
 
 def normalised(vector: Column) -> Column:
@@ -106,11 +109,36 @@ class TermWeights(Embedding):
 class Demo(Embedding):
     """Counts of a dozen words, made of length 1."""
 
+    def __init__(self, product: str = PRODUCT) -> None:
+        self.words = [w or product.lower() for w in DEMO_WORDS]
+
     def dimension(self) -> int:
-        return len(DEMO_WORDS)
+        return len(self.words)
 
     def generate(self, text: Column) -> Column:
-        return normalised(let(plain_tokens(F.coalesce(text, F.lit(""))), lambda tok: F.array(*(_count(tok, w) for w in DEMO_WORDS))))
+        return normalised(let(plain_tokens(F.coalesce(text, F.lit(""))), lambda tok: F.array(*(_count(tok, w) for w in self.words))))
+
+
+class WordVectors:
+    """An embedding by a table of vectors of words (word, vector): the mean of those of a text's words. It is no expression: texts meet
+    the table in a join."""
+
+    def __init__(self, table: DataFrame) -> None:
+        self.table = table
+
+    def dimension(self) -> int:
+        row = self.table.select(F.size("vector").alias("n")).first()
+        return row["n"] if row else 0
+
+    def embedded(self, docs: DataFrame, id_cols: list[str], text_col: str, name: str) -> DataFrame:
+        """``docs`` with a column of vectors, null for a null text. Rows of equal ids are one text."""
+        keyed = docs.withColumn("__id", F.struct(*id_cols))
+        found = word_vectors_mean(keyed.filter(F.col(text_col).isNotNull()), "__id", text_col, self.table)
+        return keyed.join(found.withColumnRenamed("vector", name), "__id", "left").drop("__id")
+
+    def of(self, df: DataFrame, text: str) -> list[float]:
+        one = df.sparkSession.createDataFrame([(1, text)], "__n int, __text string")
+        return list(word_vectors_mean(one, "__n", "__text", self.table).first()["vector"])
 
 
 def vocabulary_of(docs: DataFrame, text_col: str, size: int = DIMENSION) -> list[str]:

@@ -129,7 +129,8 @@ ORACLE = {
     "type_codes": "SELECT index_no, CASE lower(index_type) WHEN 'file' THEN 0 WHEN 'path' THEN 1 WHEN 'url' THEN 3 ELSE 2 END::INT AS code FROM search_indexes",
     "title_fallback": f"WITH {_LATEST} SELECT doc_no, coalesce(nullif(s.title, ''), nullif(l.title, ''), '') AS title, coalesce(nullif(s.custom1, ''), nullif(l.custom1, ''), '') AS custom1 FROM stored_docs s LEFT JOIN l USING (index_id)",
     "url_joined": f"""WITH {_LATEST}, p AS (SELECT doc_no, coalesce(urlpath, '') AS b, s.url AS u FROM stored_docs s LEFT JOIN l USING (index_id) WHERE s.url IS NOT NULL AND s.url NOT ILIKE 'http%')
-SELECT doc_no, CASE WHEN b = '' OR starts_with(lower(u), lower(b)) THEN u WHEN u = '' THEN b ELSE rtrim(b, '/') || '/' || ltrim(u, '/') END AS url FROM p""",
+SELECT doc_no, CASE WHEN b = '' THEN u WHEN u = '' THEN b WHEN starts_with(lower(regexp_replace(replace(u, '\\', '/'), '^/', '')), lower(regexp_replace(replace(b, '\\', '/'), '/$', ''))) THEN regexp_replace(replace(u, '\\', '/'), '^/', '')
+ELSE regexp_replace(replace(b, '\\', '/'), '/$', '') || '/' || regexp_replace(replace(u, '\\', '/'), '^/', '') END AS url FROM p""",
     "body_concat": "SELECT batch_no, index_id, id, arrived_at, coalesce(title || ' ', '') || coalesce(body || ' ', '') AS contents FROM custom_batches",
     "role_mapping": "SELECT id AS key, title, coalesce(title || ' ', '') || coalesce(body || ' ', '') AS contents, index_id AS custom1, 'a constant' AS custom2, length(coalesce(title || ' ', '') || coalesce(body || ' ', ''))::VARCHAR AS size FROM custom_batches",
     "upsert_last_wins": f"WITH {_KEYED} SELECT key, title, body FROM k WHERE key IS NOT NULL QUALIFY row_number() OVER (PARTITION BY key ORDER BY old, o DESC) = 1",

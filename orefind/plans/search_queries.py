@@ -89,9 +89,10 @@ VOCABULARY = ["the", "of", "servers", "indexes", "compilers", "banks"]
 
 
 def tfidf_embedding(spark: SparkSession, d: str) -> DataFrame:
-    """The weight of each vocabulary word in each document's vector."""
-    service = vectors.TermWeights(VOCABULARY)
-    rows = _docs(spark, d).select("doc_no", F.posexplode(service.generate(F.col("contents"))).alias("place", "x"))
+    """The weight of each of the hundred most frequent words in each document's vector, as far as it isn't 0."""
+    docs = _docs(spark, d)
+    service = vectors.TermWeights(vectors.vocabulary_of(docs, "contents"))
+    rows = docs.select("doc_no", F.posexplode(service.generate(F.col("contents"))).alias("place", "x")).filter("x <> 0")
     return rows.select("doc_no", "place", F.round("x", 6).alias("x"))
 
 
@@ -186,17 +187,24 @@ SELECT doc_no, round((ln(1 + (n - d1 + 0.5) / (d1 + 0.5)) + ln(1 + (n - d2 + 0.5
     "pattern_search": _constant("regexp_full_match(x, 'b[ao]nks?')"),
     "range_search": _constant("x >= 'bank' AND x <= 'banks'"),
     "boosted_search": f"WITH {_leaves([A, B], boosts={A: 4.0})} {_SUM}",
+    "near_phrase_search": f"""WITH t AS ({_tf()}), n AS (SELECT count(*) FILTER (len(t) > 0) AS n, sum(len(t)) AS w, count(*) FILTER (list_contains(t, 'indexes')) AS d1, count(*) FILTER (list_contains(t, 'parsed')) AS d2 FROM t),
+p AS (SELECT doc_no, len(t) AS dl, len(list_filter(range(1, len(t) + 1), lambda i: t[i] = 'indexes' AND list_contains(t[i + 1 : i + 4], 'parsed'))) AS tf FROM t)
+SELECT doc_no, round((ln(1 + (n - d1 + 0.5) / (d1 + 0.5)) + ln(1 + (n - d2 + 0.5) / (d2 + 0.5))) * tf / (tf + 1.2 * (0.25 + 0.75 * dl / (w / n))), 6) AS score FROM p, n WHERE tf > 0""",
+    "fuzzy_search": f"""WITH t AS ({_tf()}), n AS (SELECT count(*) FILTER (len(t) > 0) AS n, sum(len(t)) AS w FROM t), o AS (SELECT DISTINCT unnest(t) AS term FROM t),
+q AS (SELECT term, 1 - d / least(5, length(term)) AS boost FROM (SELECT term, damerau_levenshtein(term, 'bankx') AS d FROM o WHERE abs(length(term) - 5) <= 1) WHERE d <= 1 ORDER BY d, term LIMIT 50),
+f AS (SELECT doc_no, term, boost, len(list_filter(t, lambda x: x = term)) AS tf, len(t) AS dl FROM t, q), d AS (SELECT term, count(*) FILTER (tf > 0) AS df FROM f GROUP BY term)
+SELECT doc_no, round(sum(boost * ln(1 + (n - df + 0.5) / (df + 0.5)) * tf / (tf + 1.2 * (0.25 + 0.75 * dl / (w / n)))), 6) AS score FROM f JOIN d USING (term), n WHERE tf > 0 GROUP BY doc_no""",
     "top_page": f"WITH {_leaves([A, B])} SELECT doc_no, round(score, 6) AS score FROM (SELECT doc_no, sum(s) AS score FROM s GROUP BY doc_no ORDER BY score DESC, doc_no LIMIT 10 OFFSET 10)",
     "match_all_page": "SELECT doc_no, 1.0::DOUBLE AS score FROM stored_docs ORDER BY doc_no LIMIT 25",
     "knn_cosine_100": f"SELECT vec_id, round(score, 5) AS score FROM ({_KNN})",
     "similar_vectors": "WITH w AS (SELECT 'w' || vec_id AS word, embedding::DOUBLE[] AS v FROM embeddings), o AS (SELECT * FROM w ORDER BY word LIMIT 1) SELECT w.word, round(list_cosine_similarity(w.v, o.v), 5) AS similarity FROM w, o WHERE w.word <> o.word ORDER BY list_cosine_similarity(w.v, o.v) DESC, w.word LIMIT 10",
     "hybrid_ratio": f"WITH k AS ({_KNN}), b AS (WITH {_leaves([A, B])} SELECT doc_no, sum(s) AS score FROM s GROUP BY doc_no) SELECT coalesce(doc_no, vec_id) AS id, round(0.3 * coalesce(b.score, 0) + 0.7 * coalesce(k.score, 0), 5) AS score FROM b FULL JOIN k ON doc_no = vec_id",
-    "tfidf_embedding": f"""WITH v AS (SELECT unnest({VOCABULARY!r}) AS w, generate_subscripts({VOCABULARY!r}, 1) - 1 AS place),
-t AS (SELECT doc_no, string_split(trim(regexp_replace(regexp_replace(lower(coalesce(contents, '')), '[^a-z0-9\\s]', ' ', 'g'), '\\s+', ' ', 'g')), ' ') AS t FROM stored_docs),
-r AS (SELECT doc_no, place::INT AS place, len(list_filter(t, lambda x: x = w)) * (1 + ln(1 + 10 * place / {len(VOCABULARY)})) AS x FROM t, v),
-z AS (SELECT doc_no, sqrt(sum(x * x)) AS z FROM r GROUP BY doc_no)
-SELECT doc_no, place, round(CASE WHEN z > 0 THEN x / z WHEN place = 0 THEN 1e-5 ELSE 0 END, 6) AS x FROM r JOIN z USING (doc_no)""",
-    "demo_embedding": f"""WITH v AS (SELECT unnest({list(vectors.DEMO_WORDS)!r}) AS w, generate_subscripts({list(vectors.DEMO_WORDS)!r}, 1) - 1 AS place),
+    "tfidf_embedding": """WITH t AS (SELECT doc_no, string_split(trim(regexp_replace(regexp_replace(lower(coalesce(contents, '')), '[^a-z0-9\\s]', ' ', 'g'), '\\s+', ' ', 'g')), ' ') AS t FROM stored_docs),
+o AS (SELECT unnest(t) AS w FROM t), n AS (SELECT w, count(*) AS n FROM o WHERE w <> '' GROUP BY w), v AS (SELECT w, row_number() OVER (ORDER BY n DESC, w) - 1 AS place FROM n QUALIFY place < 100), k AS (SELECT count(*) AS k FROM v),
+r AS (SELECT doc_no, place::INT AS place, len(list_filter(t, lambda x: x = w)) * (1 + ln(1 + 10 * place / k)) AS x FROM t, v, k),
+z AS (SELECT doc_no, sqrt(sum(x * x)) AS z FROM r GROUP BY doc_no), e AS (SELECT doc_no, place, CASE WHEN z > 0 THEN x / z WHEN place = 0 THEN 1e-5 ELSE 0 END AS x FROM r JOIN z USING (doc_no))
+SELECT doc_no, place, round(x, 6) AS x FROM e WHERE x <> 0""",
+    "demo_embedding": f"""WITH v AS (SELECT unnest({vectors.Demo().words!r}) AS w, generate_subscripts({vectors.Demo().words!r}, 1) - 1 AS place),
 t AS (SELECT doc_no, regexp_split_to_array(lower(coalesce(contents, '')), '\\s+') AS t FROM stored_docs),
 r AS (SELECT doc_no, place::INT AS place, len(list_filter(t, lambda x: x = w))::DOUBLE AS x FROM t, v),
 z AS (SELECT doc_no, sqrt(sum(x * x)) AS z FROM r GROUP BY doc_no)

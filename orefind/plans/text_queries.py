@@ -60,26 +60,33 @@ def bigrams(spark: SparkSession, d: str) -> DataFrame:
 
 
 def html_extract(spark: SparkSession, d: str) -> DataFrame:
-    """Title and text of contents read as HTML."""
-    rows = _docs(spark, d).filter("contents like '%</%'")
-    return rows.select("doc_no", html_fields(F.col("contents")).alias("f")).select("doc_no", "f.title", "f.contents")
+    """Title and text of all contents read as HTML; what is no HTML comes out as its text, null contents as null."""
+    return _docs(spark, d).select("doc_no", html_fields(F.col("contents")).alias("f")).select("doc_no", "f.title", "f.contents")
 
 
 def html_links(spark: SparkSession, d: str) -> DataFrame:
-    rows = _docs(spark, d).filter("contents like '%href%'").select(F.concat(F.lit("https://docs.example/x/"), F.col("doc_no").cast("string")).alias("url"), F.col("contents").alias("html"))
+    rows = _docs(spark, d).select(F.concat(F.lit("https://docs.example/x/"), F.col("doc_no").cast("string")).alias("url"), F.col("contents").alias("html"))
     return links_of(rows)
 
 
 QUERIES = {f.__name__: f for f in (summaries, extensions, normal_extensions, stamps, urls, normal_urls, highlighted, keyword_lists, bigrams, html_extract, html_links)}
 
+_SHAPE = r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)([^?#]*)((?s:.*))$"
+_ROOT = rf"regexp_replace(regexp_replace(regexp_extract(url, '{_SHAPE}', 1), '(?i)^(http://.*):80$', '\1'), '(?i)^(https://.*):443$', '\1')"
+_PATH, _REST = rf"regexp_extract(url, '{_SHAPE}', 2)", rf"regexp_extract(url, '{_SHAPE}', 3)"
+TOKENS = r"[\p{L}\p{M}\p{N}_]+(?:[''’.:·][\p{L}\p{M}_]+|[.,;''][\p{N}]+)*"
 _EXT = r"lower(regexp_extract(regexp_extract(f, '([^/\\]*)$', 1), '\.([^.]+)$', 1))"
 ORACLE = {
     "summaries": "SELECT doc_no, contents[1:200] AS summary, coalesce(length(contents), 0)::INT AS n FROM stored_docs",
     "extensions": f"WITH x AS (SELECT doc_no, coalesce(trim(filename, ' '), '') AS f FROM stored_docs) SELECT doc_no, {_EXT} AS ext FROM x WHERE {_EXT} IN ('html', 'cfm', 'txt', '')",
     "normal_extensions": r"SELECT index_no, lower(regexp_replace(trim(extensions, ' '), '^\*?\.', '')) AS ext FROM search_indexes WHERE extensions IS NOT NULL",
     "stamps": "SELECT doc_no, strftime(modified, '%Y%m%d%H%M%S') || lpad((epoch_us(modified) // 1000 % 1000)::VARCHAR, 3, '0') AS stamp, file_path AS path FROM stored_docs WHERE file_path IS NOT NULL AND modified IS NOT NULL",
-    "urls": r"""WITH x AS (SELECT doc_no, url, regexp_replace(regexp_replace(url, '[?#].*$', ''), '/[^/]*\.[^/]*$', '/') AS c, regexp_extract(url, '^(https?://[^/?#]+)', 1) AS r FROM stored_docs WHERE url ILIKE 'http%')
-SELECT doc_no, lower(regexp_extract(url, '(?i)^https?://([^/?#:]+)', 1)) AS host, regexp_replace(CASE WHEN length(c) < length(r) THEN r ELSE c END, '/+$', '') AS folder FROM x""",
+    "urls": rf"""WITH x AS (SELECT doc_no, url, {_ROOT} AS r, {_PATH} AS p, {_REST} AS q FROM stored_docs WHERE url ILIKE 'http%')
+SELECT doc_no, lower(regexp_extract(url, '(?i)^https?://([^/?#:]+)', 1)) AS host, CASE WHEN r = '' THEN url WHEN contains(p, '.') THEN r || regexp_replace(regexp_replace(p, '\.[^.]*$', ''), '[^/]*$', '') WHEN p LIKE '%/' THEN r || p || q ELSE r || p || '/' END AS folder FROM x""",
+    "normal_urls": rf"""WITH x AS (SELECT doc_no, trim(url, ' ') AS url FROM stored_docs WHERE url ILIKE 'http%'), y AS (SELECT doc_no, url, {_ROOT} AS r, {_PATH} AS p, {_REST} AS q FROM x)
+SELECT doc_no, CASE WHEN r = '' THEN url ELSE lower(r) || p || CASE WHEN contains(p, '.') OR p LIKE '%/' THEN '' ELSE '/' END || regexp_extract(q, '^(\?[^#]*)', 1) END AS url FROM y""",
+    "bigrams": rf"""WITH t AS (SELECT doc_id, regexp_extract_all(lower(text), '{TOKENS}') AS t FROM documents WHERE text IS NOT NULL)
+SELECT doc_id, coalesce(list_sum(list_transform(t, lambda w: CASE WHEN regexp_full_match(w, '[\x{{3040}}-\x{{30ff}}\x{{3400}}-\x{{9fff}}\x{{ac00}}-\x{{d7af}}]{{2,}}') THEN length(w) - 1 ELSE 1 END)), 0)::INT AS n FROM t""",
     "highlighted": "SELECT doc_no, regexp_replace(contents, '(servers)', '<B>\\1</B>', 'gi') AS marked FROM stored_docs WHERE contents IS NOT NULL",
     "keyword_lists": f"SELECT search_no, array_to_string(list_filter(regexp_split_to_array(lower(criteria), '\\s+'), lambda w: length(w) > 2 AND NOT list_contains({t.CONTEXT_STOP_WORDS!r}, w)), ' ') AS words FROM search_log WHERE criteria IS NOT NULL",
 }

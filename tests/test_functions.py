@@ -31,8 +31,9 @@ def test_languages():
 
 
 def test_urls(spark):
-    assert one(spark, t.joined_url(F.lit("/a/"), F.lit("\\b"))) == "/a/b" and one(spark, t.joined_url(F.lit("/A"), F.lit("/a/x"))) == "/a/x"
-    assert one(spark, t.directory_of(F.lit("http://h.example/a/b.html?x"))) == "http://h.example/a"
+    assert one(spark, t.joined_url(F.lit("/a/"), F.lit("\\b"))) == "/a/b" and one(spark, t.joined_url(F.lit("/A"), F.lit("/a/x"))) == "/A/a/x"
+    assert one(spark, t.joined_url(F.lit("http://x/"), F.lit("HTTP://X/y"))) == "HTTP://X/y" and one(spark, t.joined_url(F.lit(""), F.lit("/y"))) == "/y"
+    assert [one(spark, t.directory_of(F.lit(f"http://h.example{x}"))) for x in (":80/a/b.html?x", "/a", "", "/a/?q", "/x.d/y.e/z")] == [f"http://h.example{x}" for x in ("/a/", "/a/", "/", "/a/?q", "/x.d/")]
     assert one(spark, t.normal_url(F.lit("HTTP://H.example:80/dir#x"))) == "http://h.example/dir/"
     assert one(spark, t.uid_url(t.document_uid(F.lit("/a/b"), F.lit("2020-01-02 03:04:05.678").cast("timestamp")))) == "/a/b"
 
@@ -50,6 +51,7 @@ def test_highlight_and_count(spark):
 def test_passages():
     assert split_passages("No terminator here at all", 20) == [("No terminator here at all", 0, 25)]
     assert split_passages("No terminator here at all", 20, compat=True)[0][2] == 24
+    assert len(split_passages("a" * 160 + "." + "b" * 75)) == 1 and [p for p, _, _ in split_passages("One. Two. Three. ", 6)] == ["One. Two.", " Three. "]
     assert split_passages(None) == [] and split_passages("") == []
     long = "One sentence here. " * 2000
     assert "".join(p for p, _, _ in split_passages(long)) == long
@@ -73,6 +75,20 @@ def test_vectors(spark):
     assert vectors.hybrid(empty, spark.createDataFrame([(1, 0.5)], "id int, score double"), "id", 0.5).first()["score"] == 0.25
 
 
+def test_query_words_are_cut_as_documents_are(spark):
+    from orefind.operators.match import analysed
+
+    for text, lang in (("ที่ x", "thai"), ("Cafe\u0301 it's 3.14", "english"), ("বাংলা", "bengali"), ("東京都 data 語", "japanese"), ("häuser_x", "german")):
+        assert analysed(text, lang) == one(spark, t.tokens(F.lit(text), lang)), text
+
+
+def test_edits_count_exchanged_neighbours(spark):
+    from orefind.operators.match import edits
+
+    got = {r["t"]: r["d"] for r in spark.createDataFrame([("form",), ("from",), ("rfmo",), ("xfrom",)], "t string").select("t", edits(F.col("t"), "from").alias("d")).collect()}
+    assert got == {"form": 1, "from": 0, "rfmo": 2, "xfrom": 1}
+
+
 def test_suggestions(spark):
     words = spark.createDataFrame([("search", 3), ("serch", 1), ("engine", 2)], "word string, df bigint")
     got = suggestions(words, ["serch", ""]).collect()
