@@ -1,33 +1,38 @@
 """Collections of indexes: created, filled, searched and looked after.
 
-A collection is a folder of generations. Each holds Parquet tables: ``docs`` (partitioned by index_id) and ``postings`` (field, term,
-index_id, key, tf, positions, sorted by field and term, so a search's terms prune files and row groups). A change writes a new generation
-and then moves the pointer in the catalog, a small JSON file replaced in one step; readers see either state.
+Each index of a collection has a folder with one folder a version: the Parquet tables ``docs`` (with the documents' vectors, where the
+collection embeds), ``postings`` (field, term, key, tf, positions, ranged and sorted by field, term and key, so that a search's terms
+prune files and row groups, and a term of a third of all documents lies in several files), ``stats`` and ``words`` (the dictionary that
+suggestions are made from). A change writes a new version of its own index alone and then moves the pointer in the catalog, a numbered
+file; readers see either state, and of two sessions that change the catalog at once one fails. Folders are reached by the session's file
+systems, so they may lie anywhere that Spark reads.
 """
 
 from __future__ import annotations
 
 import hashlib
-import json
-import os
 import re
-import shutil
 import time
 from dataclasses import asdict, dataclass, field
 from functools import wraps
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from orefind.functions import criteria
 from orefind.functions.text import check_language, directory_of, joined_url, tokens
 from orefind.operators import match, mutate, passages, spell, vectors
-from orefind.sources.documents import COLUMNS, NAMES
+from orefind.sources.documents import COLUMNS, NAMES, default_vectors_file, vocabulary, word_vectors
+from orefind.sources.shared import Pointer, bytes_in, exists, make_folder, names_in, read_file, remove
 
 MODES = ("keyword", "vector", "hybrid")
 TYPES = {"file": 0, "path": 1, "custom": 2, "url": 3}
-DOCS = f"{COLUMNS}, index_id string"
+DOCS = f"{COLUMNS}, index_id string, vector array<double>"
 POSTINGS = "field string, term string, index_id string, key string, tf int, positions array<int>"
+STATS = "index_id string, field string, n bigint, w bigint"
+WORDS = "index_id string, word string, df bigint"
+TABLES = {"docs": DOCS, "postings": POSTINGS, "stats": STATS, "words": WORDS}
+IDS = ["index_id", "key"]
 
 
 def type_code(name: str) -> int:
@@ -98,25 +103,26 @@ def _stamped(f):
 
 
 class Engine:
-    """The registry of collections below a folder; names are the same in any case."""
+    """The registry of collections below a folder, of any file system; names are the same in any case."""
 
     def __init__(self, spark: SparkSession, folder: str) -> None:
-        self.spark, self.folder, self.file = spark, folder, os.path.join(folder, "search.json")
-        os.makedirs(folder, exist_ok=True)
-        self.state: dict[str, dict] = {}
-        if os.path.exists(self.file) and os.path.getsize(self.file):
-            with open(self.file, encoding="utf-8") as f:
-                self.state = json.load(f)
-        elif os.path.exists(os.path.join(folder, "search.xml")):
-            self.state = legacy_catalog(os.path.join(folder, "search.xml"))
-            self.store()
+        self.spark, self.folder = spark, folder.rstrip("/")
+        make_folder(spark, self.folder)
+        self.pointer = Pointer(spark, self.folder, "search")
+        self.state: dict[str, dict] | None = self.pointer.load()
+        if self.state is None:
+            old = f"{self.folder}/search.xml"
+            self.state = legacy_catalog(read_file(spark, old)) if exists(spark, old) else {}
+            if self.state:
+                self.store()
 
     def store(self) -> None:
-        with open(self.file + ".new", "w", encoding="utf-8") as f:
-            json.dump(self.state, f, indent=1)
-        os.replace(self.file + ".new", self.file)
+        self.pointer.store(self.state)
 
-    def create(self, name: str, path: str | None = None, language: str | None = None, mode: str = "", embedding: str = "", ratio: float = 0.5, overwrite: bool = False) -> Collection:
+    def create(self, name: str, path: str | None = None, language: str | None = None, mode: str = "", embedding: str = "", ratio: float = 0.5, overwrite: bool = False, vocabulary_path: str = "") -> Collection:
+        """A new collection. ``embedding`` is TF-IDF (over the words of the file ``vocabulary_path``, or else the first documents' most
+        frequent ones), word2vec (with the vectors file in the engine's folder ``embedding``), demo, the path of a vectors file, a
+        registered name or a class."""
         mode = mode.strip() or "keyword"
         if mode not in MODES:
             raise ValueError(f"mode must be one of {', '.join(MODES)}, not [{mode}]")
@@ -124,11 +130,12 @@ class Engine:
             raise ValueError("ratio must be between 0 and 1")
         if name.lower() in self.state and not overwrite:
             raise ValueError(f"collection [{name}] exists already")
+        language = check_language(language)
         if name.lower() in self.state:
             self.collection(name).delete()
         self.state[name.lower()] = {
-            "name": name, "path": path or os.path.join(self.folder, directory_name(name)), "language": check_language(language), "mode": mode,
-            "embedding": embedding or ("TF-IDF" if mode != "keyword" else ""), "ratio": ratio, "created": time.time(), "last_update": time.time(), "generation": 0, "indexes": {},
+            "name": name, "path": (path or f"{self.folder}/{directory_name(name)}").rstrip("/"), "language": language, "mode": mode,
+            "embedding": embedding or ("TF-IDF" if mode != "keyword" else ""), "vocabulary_path": vocabulary_path, "vocabulary": [], "ratio": ratio, "created": time.time(), "last_update": time.time(), "indexes": {}, "versions": {},
         }
         self.store()
         return self.collection(name)
@@ -150,10 +157,10 @@ class Engine:
         ).select("external", "language", "mapped", "name", "online", "path", "registered", F.timestamp_seconds("__l").alias("lastmodified"), "categories", "charset", F.timestamp_seconds("__c").alias("created"), "size", "doccount", "mode", "embedding", "ratio")
 
     def search(self, names: list[str], text: str, start: int = 1, most: int | None = None, **options) -> tuple[DataFrame, SearchData]:
-        """Search several collections: best rows first over all of them, paged as one result."""
+        """Search several collections: best rows first over all of them, paged as one result. Of each only the rows that can come into the page are kept."""
         found, data = None, SearchData()
         for name in names:
-            rows, own = self.collection(name).hits(text, **options)
+            rows, own = self.collection(name).hits(text, top=None if most is None else start - 1 + most, **options)
             data.records_searched += own.records_searched
             for k, v in own.suggestions.items():
                 data.suggestions.setdefault(k, []).extend(v)
@@ -165,14 +172,16 @@ class Engine:
 
 
 def page(found: DataFrame, start: int = 1, most: int | None = None) -> DataFrame:
-    """The rows from ``start`` (1 is the first), at most ``most``, with their rank among all."""
-    rows = found.orderBy(F.desc("score"), "collection", "index_id", "key")
+    """The rows from ``start`` (1 is the first), at most ``most``, with their rank among all. Without ``most`` all rows are ranked, in parts."""
+    order = [F.desc("score"), F.asc("collection"), F.asc("index_id"), F.asc("key")]
+    if most is None:
+        ranked = match.with_rank(found, order)
+        return ranked.filter(F.col("rank") >= start).orderBy("rank")
+    rows = found.orderBy(*order)
     if start > 1:
         rows = rows.offset(start - 1)
-    rows = rows if most is None else rows.limit(max(0, most))
-    from pyspark.sql import Window
-
-    return rows.withColumn("rank", (F.row_number().over(Window.orderBy(F.desc("score"), "collection", "index_id", "key")) + max(0, start - 1)).cast("bigint"))
+    rows = rows.limit(max(0, most))
+    return rows.withColumn("rank", (F.row_number().over(Window.orderBy(*order)) + max(0, start - 1)).cast("bigint"))  # a page's rows
 
 
 def directory_name(name: str) -> str:
@@ -181,12 +190,12 @@ def directory_name(name: str) -> str:
     return "CF" + re.sub("[^A-Za-z0-9]", "_", name) + (str(sum(ord(ch) * (i + 2) for i, ch in odd)) if odd else "")
 
 
-def legacy_catalog(path: str) -> dict[str, dict]:
+def legacy_catalog(data: bytes) -> dict[str, dict]:
     """Collections of an older XML catalog; they search by words."""
     from xml.etree import ElementTree
 
     state: dict[str, dict] = {}
-    for c in ElementTree.parse(path).getroot().iter("collection"):
+    for c in ElementTree.fromstring(data).iter("collection"):
         a = c.attrib
         indexes = {}
         for i in c.iter("index"):
@@ -195,7 +204,7 @@ def legacy_catalog(path: str) -> dict[str, dict]:
             one = Index(b.get("id") or index_id(kind, b.get("key", "")), kind, b.get("key", ""), b.get("title", ""), b.get("query", ""), [x for x in b.get("extensions", "").split(",") if x], b.get("language", "english"), b.get("urlpath", ""), *(b.get(f"custom{n}", "") for n in range(1, 5)), b.get("categoryTree", ""), b.get("category", "").split(","))
             indexes[one.id] = asdict(one)
         name = a.get("name", "")
-        state[name.lower()] = {"name": name, "path": a.get("path", ""), "language": a.get("language", "english"), "mode": "keyword", "embedding": "", "ratio": 0.5, "created": time.time(), "last_update": time.time(), "generation": 0, "indexes": indexes}
+        state[name.lower()] = {"name": name, "path": a.get("path", ""), "language": a.get("language", "english"), "mode": "keyword", "embedding": "", "vocabulary_path": "", "vocabulary": [], "ratio": 0.5, "created": time.time(), "last_update": time.time(), "indexes": indexes, "versions": {}}
     return state
 
 
@@ -205,23 +214,29 @@ class Collection:
 
     # --- tables ---
 
-    def _folder(self, generation: int | None = None) -> str:
-        return os.path.join(self.meta["path"], f"g{self.meta['generation'] if generation is None else generation}")
+    def _folder(self, index: str, version: int | None = None) -> str:
+        return f"{self.meta['path']}/{index}/v{self.meta['versions'][index] if version is None else version}"
+
+    def _table(self, name: str, indexes: list[str] | None = None) -> DataFrame:
+        """A table of the indexes (all by default) that were ever filled. One that the catalog names must be there: a missing one is an error."""
+        filled = [i for i in self.meta["versions"] if indexes is None or i in indexes]
+        if not filled:
+            return self.spark.createDataFrame([], TABLES[name])
+        return self.spark.read.schema(TABLES[name]).parquet(*(f"{self._folder(i)}/{name}" for i in filled))
 
-    def _table(self, name: str, schema: str) -> DataFrame:
-        path = os.path.join(self._folder(), name)
-        return self.spark.read.schema(schema).parquet(path) if self.meta["generation"] and os.path.isdir(path) else self.spark.createDataFrame([], schema)
+    def docs(self, indexes: list[str] | None = None) -> DataFrame:
+        return self._table("docs", indexes)
 
-    def docs(self) -> DataFrame:
-        return self._table("docs", DOCS)
+    def postings(self, indexes: list[str] | None = None) -> DataFrame:
+        return self._table("postings", indexes)
 
-    def postings(self) -> DataFrame:
-        return self._table("postings", POSTINGS)
+    def words(self, indexes: list[str] | None = None) -> DataFrame:
+        """word, df: the dictionary of the indexes' contents."""
+        return self._table("words", indexes).groupBy("word").agg(F.sum("df").alias("df"))
 
     def _statistics(self, postings: DataFrame, chosen: list[str]):
         """Scores' numbers from the stored tables: records and average length by field, records by term."""
-        stats = self._table("stats", "index_id string, field string, n bigint, w bigint").filter(F.col("index_id").isin(chosen))
-        by_field = {r["field"]: (float(r["n"]), float(r["w"])) for r in stats.groupBy("field").agg(F.sum("n").alias("n"), F.sum("w").alias("w")).collect()}
+        by_field = {r["field"]: (float(r["n"]), float(r["w"])) for r in self._table("stats", chosen).groupBy("field").agg(F.sum("n").alias("n"), F.sum("w").alias("w")).collect()}
 
         def of(leaves: list[tuple[str, str]]) -> dict:
             rows = postings.filter(F.col("term").isin([t for _, t in leaves])).groupBy("field", "term").agg(F.count("*").alias("df")).collect()  # a row a searched term
@@ -230,19 +245,54 @@ class Collection:
 
         return of
 
-    def _write(self, docs: DataFrame) -> None:
-        """A new generation of the tables; the old one goes once the pointer has moved."""
-        old, new = self.meta["generation"], self.meta["generation"] + 1
-        docs.select(*NAMES, "index_id").write.mode("overwrite").partitionBy("index_id").parquet(os.path.join(self._folder(new), "docs"))
-        fresh = self.spark.read.schema(DOCS).parquet(os.path.join(self._folder(new), "docs")) if os.path.isdir(os.path.join(self._folder(new), "docs")) else docs
+    def _write(self, index: str, docs: DataFrame) -> None:
+        """A new version of an index's tables; the one before the last goes once the pointer has moved, so that readers of the last can finish."""
+        version = self.meta["versions"].get(index, 0) + 1
+        folder = self._folder(index, version)
+        remove(self.spark, folder)  # of a change that failed
+        docs.select(*NAMES, F.lit(index).alias("index_id")).write.parquet(f"{folder}/plain" if self.embeds() else f"{folder}/docs")
+        if self.embeds():
+            fresh = self.spark.read.parquet(f"{folder}/plain")
+            self._embedded(fresh).select(*NAMES, "index_id", "vector").write.parquet(f"{folder}/docs")
+            remove(self.spark, f"{folder}/plain")
+        fresh = self.spark.read.schema(DOCS).parquet(f"{folder}/docs")
         words = fresh.select("index_id", "key", F.explode(F.array(*(F.struct(F.lit(f).alias("field"), tokens(F.col(f), self.meta["language"]).alias("t")) for f in match.DEFAULT_FIELDS))).alias("x")).select("x.field", "index_id", "key", F.posexplode("x.t").alias("p", "term"))
         lists = words.groupBy("field", "term", "index_id", "key").agg(F.count("*").cast("int").alias("tf"), F.array_sort(F.collect_list("p")).alias("positions"))
-        lists.repartitionByRange("field", "term").sortWithinPartitions("field", "term").write.mode("overwrite").parquet(os.path.join(self._folder(new), "postings"))
-        known = self.spark.read.schema(POSTINGS).parquet(os.path.join(self._folder(new), "postings"))
-        known.groupBy("index_id", "field").agg(F.countDistinct("key").alias("n"), F.sum("tf").alias("w")).coalesce(1).write.mode("overwrite").parquet(os.path.join(self._folder(new), "stats"))
-        self.meta["generation"] = new
+        lists.repartitionByRange("field", "term", "key").sortWithinPartitions("field", "term", "key").write.parquet(f"{folder}/postings")
+        known = self.spark.read.schema(POSTINGS).parquet(f"{folder}/postings")
+        known.groupBy("index_id", "field").agg(F.countDistinct("key").alias("n"), F.sum("tf").alias("w")).coalesce(1).write.parquet(f"{folder}/stats")
+        known.filter(F.col("field") == match.DEFAULT_FIELDS[0]).groupBy("index_id", F.col("term").alias("word")).agg(F.count("*").alias("df")).write.parquet(f"{folder}/words")
+        self.meta["versions"][index] = version
         self.engine.store()
-        shutil.rmtree(self._folder(old), ignore_errors=True)
+        if version > 1:
+            remove(self.spark, self._folder(index, version - 2))
+
+    # --- vectors ---
+
+    def embeds(self) -> bool:
+        return self.meta["mode"] != "keyword" and bool(self.meta["embedding"])
+
+    def _service(self, docs: DataFrame) -> vectors.Embedding | vectors.WordVectors:
+        """The collection's embedding. The words of TF-IDF are fixed with the first documents that are written, or by a file."""
+        name = self.meta["embedding"]
+        if "/" in name or "\\" in name:
+            return vectors.WordVectors(word_vectors(self.spark, name))
+        if name.lower() == "word2vec":
+            folder = f"{self.engine.folder}/embedding"
+            file = default_vectors_file([(n, bytes_in(self.spark, f"{folder}/{n}")) for n in names_in(self.spark, folder)])
+            return vectors.WordVectors(word_vectors(self.spark, f"{folder}/{file}"))
+        if name.lower() != "tf-idf":
+            return vectors.embedding(name)
+        if not self.meta["vocabulary"]:
+            path = self.meta["vocabulary_path"]
+            self.meta["vocabulary"] = vocabulary(self.spark, path, vectors.DIMENSION) if path else vectors.vocabulary_of(docs, "contents")
+        return vectors.TermWeights(self.meta["vocabulary"], self.meta["language"] == "english")
+
+    def _embedded(self, docs: DataFrame) -> DataFrame:
+        service = self._service(docs)
+        if isinstance(service, vectors.WordVectors):
+            return service.embedded(docs, IDS, "contents", "vector")
+        return docs.withColumn("vector", F.when(F.col("contents").isNotNull(), service.generate(F.col("contents")).cast("array<double>")))
 
     # --- indexes ---
 
@@ -264,65 +314,72 @@ class Collection:
         about = {k: v for k, v in about.items() if v is not None}
         one = Index(index_id(kind, key, query_name), type_name(type_code(kind)), key, query_name=query_name, language=language or self.meta["language"], **about)
         self._register(one)
-        everything = self.docs()
-        own, rest = everything.filter(F.col("index_id") == one.id), everything.filter(F.col("index_id") != one.id)
-        incoming = docs.withColumn("index_id", F.lit(one.id))
+        own = self.docs([one.id])
+        incoming = docs.withColumn("index_id", F.lit(one.id)).withColumn("vector", F.lit(None).cast("array<double>"))
         if one.type == "custom":
             counts = mutate.upsert_counts(own, incoming).first()
-            new = mutate.upsert(own, incoming, order=order).select(*NAMES, "index_id")
+            new = mutate.upsert(own, incoming, order=order)
             result = IndexResult(0, counts["inserted"], counts["updated"])
         else:
-            before, rows = own.count(), incoming.count()
-            new = incoming.select(*NAMES, "index_id")
+            before, rows, new = own.count(), incoming.count(), incoming
             result = IndexResult(0, 0, rows) if one.type == "path" or before == rows else IndexResult(0, rows, 0)
-        self._write(rest.select(*NAMES, "index_id").unionByName(new))
+        self._write(one.id, new)
         return result
 
     @_stamped
     def delete_documents(self, keys: list[str]) -> IndexResult:
-        """Delete by key from all custom indexes."""
-        custom = [i.id for i in self.indexes() if i.type == "custom"]
-        everything = self.docs()
-        own, rest = everything.filter(F.col("index_id").isin(custom)), everything.filter(~F.col("index_id").isin(custom))
-        left = mutate.delete_keys(own, self.spark.createDataFrame([(k,) for k in keys], "key string"))
-        before, after = own.count(), left.count()
-        self._write(rest.select(*NAMES, "index_id").unionByName(left.select(*NAMES, "index_id")))
-        return IndexResult(before - after, 0, 0)
+        """Delete by key from all custom indexes that have one of the keys."""
+        gone = 0
+        wanted = self.spark.createDataFrame([(k,) for k in keys], "key string")
+        for i in [i.id for i in self.indexes() if i.type == "custom" and i.id in self.meta["versions"]]:
+            own = self.docs([i])
+            here = own.join(F.broadcast(wanted), "key", "left_semi").count()
+            if here:
+                self._write(i, mutate.delete_keys(own, wanted))
+                gone += here
+        return IndexResult(gone, 0, 0)
 
     @_stamped
     def delete_index(self, kind: str, key: str, query_name: str = "") -> IndexResult:
         """Delete a whole index with its registration."""
         name = index_id(kind, key, query_name)
-        gone = self.docs().filter(F.col("index_id") == name).count()
-        self._write(self.docs().filter(F.col("index_id") != name))
+        gone = self.docs([name]).count()
+        self.meta["versions"].pop(name, None)
         self.meta["indexes"].pop(name, None)
+        self.engine.store()
+        remove(self.spark, f"{self.meta['path']}/{name}")
         return IndexResult(gone, 0, 0)
 
     @_stamped
     def purge(self) -> None:
         """Empty all indexes; the collection and their registration stay."""
-        self._write(self.spark.createDataFrame([], DOCS))
+        for name in list(self.meta["versions"]):
+            self._write(name, self.docs([name]).limit(0))
 
     def delete(self) -> int:
         """Delete the collection; the number of its documents."""
-        gone = self.count()
-        for name in os.listdir(self.meta["path"]) if os.path.isdir(self.meta["path"]) else []:
-            if re.fullmatch(r"g\d+", name):
-                shutil.rmtree(os.path.join(self.meta["path"], name), ignore_errors=True)
+        gone, filled = self.count(), list(self.meta["versions"])
         self.engine.state.pop(self.meta["name"].lower(), None)
         self.engine.store()
+        for name in filled:
+            remove(self.spark, f"{self.meta['path']}/{name}")
         return gone
 
     @_stamped
-    def optimize(self, partitions: int | None = None) -> None:
-        """Rewrite the tables in few large files."""
-        docs = self.docs()
-        self._write(docs.coalesce(partitions) if partitions else docs.repartition("index_id"))
+    def optimize(self, partitions: int | None = None, index: str | None = None) -> None:
+        """Rewrite the tables of an index, or of all, in few large files."""
+        for name in [i for i in self.meta["versions"] if index in (None, i)]:
+            docs = self.docs([name])
+            self._write(name, docs.coalesce(partitions) if partitions else docs.repartition("key"))
 
     @_stamped
     def repair(self) -> None:
-        """Derive the postings from the documents again."""
-        self._write(self.docs())
+        """Derive the postings, and the vectors by the words of the documents there are now, from the documents again."""
+        self.meta["vocabulary"] = []
+        if self.embeds():
+            self._service(self.docs())
+        for name in list(self.meta["versions"]):
+            self._write(name, self.docs([name]))
 
     def map(self, path: str) -> None:
         raise NotImplementedError("a collection can't be mapped to another folder")
@@ -335,7 +392,7 @@ class Collection:
 
     def size(self) -> int:
         """Bytes of the tables in KiB."""
-        return sum(os.path.getsize(os.path.join(a, f)) for a, _, fs in os.walk(self._folder()) for f in fs) // 1024
+        return sum(bytes_in(self.spark, self._folder(i)) for i in self.meta["versions"]) // 1024
 
     def index_table(self) -> DataFrame:
         """A row for each index, with its number of documents."""
@@ -361,51 +418,47 @@ class Collection:
         """The indexes that a search reads: any of the categories, and the tree or one below it."""
         return [i for i in self.indexes() if (not categories or set(categories) & set(i.categories)) and (not tree or tree == "/" or i.category_tree == tree or i.category_tree.startswith(tree.rstrip("/") + "/"))]
 
-    def embedder(self) -> vectors.Embedding | None:
-        name = self.meta["embedding"]
-        if self.meta["mode"] == "keyword" or not name:
-            return None
-        return vectors.embedding(name, vectors.vocabulary_of(self.docs(), "contents")) if name.lower() == "tf-idf" else vectors.embedding(name)
-
-    def hits(self, text: str, dialect: str = "simple", categories: list[str] | None = None, tree: str | None = None, language: str | None = None, suggest: int | None = None, context_bytes: int = passages.BYTES, context_passages: int = passages.PASSAGES, context_length: int = passages.LENGTH, begin: str = passages.BEGIN, end: str = passages.END, top: int | None = None) -> tuple[DataFrame, SearchData]:
-        """All matching rows of the collection with the result's columns, index_id and key, and what else there is to tell."""
+    def hits(self, text: str, dialect: str = "simple", categories: list[str] | None = None, tree: str | None = None, language: str | None = None, suggest: int | None = None, context_bytes: int = passages.BYTES, context_passages: int = passages.PASSAGES, context_length: int = passages.LENGTH, begin: str = passages.BEGIN, end: str = passages.END, top: int | None = None, compat: bool = False) -> tuple[DataFrame, SearchData]:
+        """All matching rows of the collection, or the ``top`` best, with the result's columns, index_id and key, and what else there is to tell."""
         chosen = self.selected(categories, tree)
-        docs = self.docs().filter(F.col("index_id").isin([i.id for i in chosen]))
+        names = [i.id for i in chosen]
+        docs = self.docs(names)
         data = SearchData(records_searched=docs.count())
-        simple = criteria.parse_simple(text) if dialect != "explicit" else None
-        node = criteria.parse_explicit(simple.canonical() if simple else text)
+        simple = criteria.parse_simple(text, compat) if dialect != "explicit" else None
         query = simple.canonical() if simple else text
+        node = criteria.parse_explicit(query)
         everything = isinstance(node, criteria.All)
-        mode = "keyword" if dialect == "explicit" or everything else self.meta["mode"]
+        mode = "keyword" if dialect == "explicit" or everything or not self.embeds() else self.meta["mode"]
         fields = tuple(n for n in NAMES if n not in ("modified", "mime_type", "path"))
-        if everything or match.named_fields(node) - set(match.DEFAULT_FIELDS):
+        if mode == "vector":
+            scored = None
+        elif everything or match.named_fields(node) - set(match.DEFAULT_FIELDS):
             scored = match.ranked(docs, node, known=fields, language=self.meta["language"], query_language=language)
         else:
-            own = self.postings().filter(F.col("index_id").isin([i.id for i in chosen]))
+            own = self.postings(names)
             node = match.expanded(node, docs, match.DEFAULT_FIELDS, own)
             asked = match.pointed_to(node, language or self.meta["language"])
-            met = docs if asked is None else docs.join(own.filter(asked).select("index_id", "key").distinct(), ["index_id", "key"], "left_semi")
-            scored = match.ranked(met, node, known=fields, language=self.meta["language"], query_language=language, dictionary=own, statistics=self._statistics(own, [i.id for i in chosen]))
-        if mode != "keyword" and (service := self.embedder()) is not None:
-            placed = docs.filter("contents is not null").withColumn("__v", service.generate(F.col("contents")))
-            near = vectors.nearest(placed, service.of(docs, query), "__v", "key")
-            both = near.select("key", "score") if mode == "vector" else vectors.hybrid(scored.select("key", "score"), near.select("key", "score"), "key", self.meta["ratio"])
-            scored = docs.join(both, "key")
+            met = docs if asked is None else docs.join(own.filter(asked).select(*IDS).distinct(), IDS, "left_semi")
+            scored = match.ranked(met, node, known=fields, language=self.meta["language"], query_language=language, dictionary=own, statistics=self._statistics(own, names))
+        if mode != "keyword":
+            near = vectors.nearest(docs.select(*IDS, "vector"), self._service(docs).of(docs, query), "vector", IDS).select(*IDS, "score")
+            both = near if scored is None else vectors.hybrid(scored.select(*IDS, "score"), near, IDS, self.meta["ratio"])
+            scored = docs.join(both, IDS)
+        scored = scored.drop("vector")
         if top is not None:
-            scored = scored.orderBy(F.desc("score"), "index_id", "key").limit(top)
-        words = [w for x in _words(node) for w in match.analysed(x, self.meta["language"])]
+            scored = scored.orderBy(F.desc("score"), *IDS).limit(top)
+        weights = {w: b for x, b in _weighted_words(node) for w in match.analysed(x, self.meta["language"])}
         rows = self._projected(scored, chosen)
         if context_bytes > 0 and context_passages > 0 and not everything:
-            marked = rows.withColumn("__id", F.concat_ws("\0", "index_id", "key")).withColumn("__w", F.array(*map(F.lit, words)).cast("array<string>"))
-            found = passages.keyword_passages(marked, "__id", "contents", query, context_passages, context_length) if mode == "vector" else passages.best_passages(marked, "__id", "contents", "__w", context_passages, context_length, begin, end)
+            marked = rows.withColumn("__id", F.concat_ws("\0", *IDS)).withColumn("__w", F.array(*map(F.lit, weights)).cast("array<string>"))
+            found = passages.keyword_passages(marked, "__id", "contents", query, context_passages, context_length) if mode == "vector" else passages.best_passages(marked, "__id", "contents", "__w", context_passages, context_length, begin, end, weights)
             rows = marked.join(found, "__id", "left").withColumn("context", F.struct(passages.context_text(F.col("passages"), context_bytes).alias("text"), F.col("contents").alias("content"), F.col("passages"))).drop("__id", "__w", "passages")
         else:
             kind = "array<struct<original:string,highlighted:string,start:int,end:int,score:double>>"
             rows = rows.withColumn("context", F.struct(F.lit("").alias("text"), F.col("contents").alias("content"), F.array().cast(kind).alias("passages")))
-        if suggest is not None and simple is not None and simple.words and scored.count() <= suggest:
-            known = spell.dictionary(docs, "contents")
+        if suggest is not None and simple is not None and simple.words and scored.limit(suggest + 1).count() <= suggest:
             asked = [t for w in simple.words for t in match.analysed(w, self.meta["language"])]
-            for r in spell.suggestions(known, asked).orderBy("term", "place").collect():  # at most ten a searched word
+            for r in spell.suggestions(self.words(names), asked).orderBy("term", "place").collect():  # at most ten a searched word
                 data.suggestions.setdefault(r["term"], []).append((r["keyword"], r["score"]))
             if data.suggestions:
                 data.suggestion_query, data.suggested_query = spell.suggested_query(simple, {k: v[0][0] for k, v in data.suggestions.items()})
@@ -416,24 +469,37 @@ class Collection:
         return page(rows, start, most), data
 
     def _projected(self, scored: DataFrame, chosen: list[Index]) -> DataFrame:
-        about = self.spark.createDataFrame([(i.id, i.type, i.title, i.urlpath, i.key, i.custom1, i.custom2, i.custom3, i.custom4, i.category_tree, ",".join(i.categories)) for i in chosen], "index_id string, type string, i_title string, urlpath string, i_key string, i_custom1 string, i_custom2 string, i_custom3 string, i_custom4 string, categoryTree string, category string")
-        joined = scored.join(F.broadcast(about), "index_id", "left")  # a row an index
+        about = self.spark.createDataFrame([(i.id, i.type, i.title, i.urlpath, i.key, i.custom1, i.custom2, i.custom3, i.custom4, i.category_tree, ",".join(i.categories)) for i in chosen], "index_id string, index_type string, i_title string, urlpath string, i_key string, i_custom1 string, i_custom2 string, i_custom3 string, i_custom4 string, categoryTree string, category string")
+        about = about.withColumn("folder", directory_of(F.col("i_key")))
+        joined = with_result_url(scored.join(F.broadcast(about), "index_id", "left"))  # a row an index
         first = lambda c: F.coalesce(F.nullif(F.col(c), F.lit("")), F.nullif(F.col(f"i_{c}"), F.lit("")), F.lit(""))
         return joined.select(
-            first("title").alias("title"), *(first(f"custom{n}").alias(f"custom{n}") for n in range(1, 5)), "categoryTree", "category", "type", F.coalesce("author", F.lit("")).alias("author"), F.coalesce("size", F.lit("")).alias("size"), F.coalesce("summary", F.lit("")).alias("summary"),
-            F.col("score").cast("double").alias("score"), "key", result_url(F.col("type"), F.col("urlpath"), F.col("i_key"), F.col("key"), F.col("url")).alias("url"), F.lit(self.meta["name"]).alias("collection"), "index_id", "contents",
+            first("title").alias("title"), *(first(f"custom{n}").alias(f"custom{n}") for n in range(1, 5)), "categoryTree", "category", F.coalesce("mime_type", F.lit("")).alias("type"), F.coalesce("author", F.lit("")).alias("author"), F.coalesce("size", F.lit("")).alias("size"), F.coalesce("summary", F.lit("")).alias("summary"),
+            F.col("score").cast("double").alias("score"), "key", "url", F.lit(self.meta["name"]).alias("collection"), "index_id", "contents",
         )
 
 
-def result_url(kind, urlpath, index_key, key, url):
-    """The address of a result: a folder's file below the path's address, a page below its own folder, a file's below the path, else its own."""
-    below = lambda root: F.when(F.startswith(key, root), F.substring(key, F.length(root) + 1, F.length(key))).otherwise(key)
-    folder = directory_of(index_key)
-    path = F.coalesce(urlpath, F.lit(""))
-    return F.when(kind == "path", joined_url(path, below(index_key))).when(kind == "url", joined_url(F.when(path == "", folder).otherwise(path), below(folder))).when(kind == "file", joined_url(path, url)).otherwise(F.coalesce(url, F.lit("")))
+def with_result_url(rows: DataFrame) -> DataFrame:
+    """``rows`` (index_type, urlpath, i_key, folder, key, url) with the address of a result in ``url``: a folder's file below the path's
+    address, a page below its own folder, a file's below the path, else its own."""
+    kind, path, own = F.col("index_type"), F.coalesce("urlpath", F.lit("")), F.coalesce("url", F.lit(""))
+    root = F.when(kind == "url", F.col("folder")).otherwise(F.col("i_key"))
+    at = F.when(kind.isin("path", "url") & (F.length(root) > 0), F.instr("key", root)).otherwise(0)  # the first occurrence is cut out
+    cut = rows.withColumn("__at", at).withColumn("__root", F.length(root))
+    below = F.when(F.col("__at") > 0, F.concat(F.substring("key", F.lit(1), F.col("__at") - 1), F.substring("key", F.col("__at") + F.col("__root"), F.length("key")))).otherwise(F.col("key"))
+    placed = cut.withColumn("__base", F.when((kind == "url") & (path == ""), F.col("folder")).otherwise(path)).withColumn("__part", F.when(kind.isin("path", "url"), below).otherwise(own))
+    return placed.withColumn("url", F.when(kind.isin("path", "url", "file"), joined_url(F.col("__base"), F.col("__part"))).otherwise(own)).drop("__at", "__root", "__base", "__part")
+
+
+def custom(row, number: int):
+    """A result's custom field by its number, 1 to 4."""
+    if number not in (1, 2, 3, 4):
+        raise ValueError(f"there is no custom field number [{number}]")
+    return row[f"custom{number}"]
 
 
-def _words(node: object) -> list[str]:
+def _weighted_words(node: object, boost: float = 1.0) -> list[tuple[str, float]]:
+    """The words of a search that count for it, with their boost."""
     if isinstance(node, criteria.Bool):
-        return [w for role, inner in node.clauses if role != criteria.MUST_NOT for w in _words(inner)]
-    return [node.text] if isinstance(node, (criteria.Term, criteria.Phrase, criteria.Fuzzy)) else []
+        return [w for role, inner in node.clauses if role != criteria.MUST_NOT for w in _weighted_words(inner, boost * node.boost)]
+    return [(node.text, boost * node.boost)] if isinstance(node, (criteria.Term, criteria.Phrase, criteria.Fuzzy)) else []

@@ -1,4 +1,3 @@
-import json
 import os
 
 import pytest
@@ -38,7 +37,7 @@ def test_simple_search_page_and_context(filled):
     rows, data = filled[1].search("java or python", start=2, most=2)
     got = rows.collect()
     assert [r["rank"] for r in got] == [2, 3] and data.records_searched == 3
-    assert any("<B>Java</B>" in r["context"]["text"] for r in got)
+    assert any('<B score="1.0">Java</B>' in r["context"]["text"] for r in got)
     assert filled[1].search("java", start=999)[0].count() == 0
     one = filled[1].search("java", context_passages=0)[0].first()
     assert one["context"]["text"] == "" and one["url"] == "/" and one["category"] == "tools,web"
@@ -93,7 +92,7 @@ def test_life_of_a_collection(spark, tmp_path):
     assert c.count() == 0 and len(c.indexes()) == 1
     assert c.delete_index("custom", "id").deleted == 0 and not c.indexes()
     assert engine.collections().count() == 1
-    assert json.load(open(engine.file))["life"]["name"] == "Life"
+    assert Engine(spark, str(tmp_path)).state["life"]["name"] == "Life"
     assert c.delete() == 0 and Engine(spark, str(tmp_path)).state == {}
 
 
@@ -162,3 +161,89 @@ def test_legacy_catalog(spark, tmp_path):
     (tmp_path / "search.xml").write_text("<search><collection name='Old' path='/p' language='english'><index id='custom-1' type='custom' key='k' category='a, b' categoryTree='/t'/></collection></search>")
     engine = Engine(spark, str(tmp_path))
     assert engine.collection("old").indexes()[0].categories == ["a", "b"] and engine.state["old"]["mode"] == "keyword"
+
+
+def test_a_folder_of_any_scheme_keeps_its_documents(spark, tmp_path):
+    engine = Engine(spark, f"file:{tmp_path}/e")
+    c = engine.create("c")
+    c.index("custom", "a", docs(spark, ROWS[:1]))
+    c.index("custom", "a", docs(spark, ROWS[1:2]))
+    c.index("custom", "b", docs(spark, ROWS[2:]))
+    assert c.count() == 3 and Engine(spark, f"file:{tmp_path}/e").collection("c").count() == 3 and c.size() > 0
+    other = Engine(spark, f"file:{tmp_path}/e")
+    c.index("custom", "b", docs(spark, ROWS[:1]))
+    with pytest.raises(RuntimeError):  # opened before the last change
+        other.create("d")
+    import shutil
+
+    shutil.rmtree(tmp_path / "e" / "CFc" / c.indexes()[0].id)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):  # what is gone isn't empty
+        c.count()
+
+
+def test_a_change_writes_its_own_index_alone(spark, tmp_path):
+    engine = Engine(spark, str(tmp_path))
+    c = engine.create("c")
+    c.index("custom", "a", docs(spark, ROWS))
+    c.index("custom", "b", docs(spark, ROWS))
+    a, b = (i.id for i in c.indexes())
+    for _ in range(3):
+        c.index("custom", "b", docs(spark, ROWS[:1]))
+    assert c.meta["versions"] == {a: 1, b: 4}
+    assert sorted(os.listdir(tmp_path / "CFc" / b)) == ["v3", "v4"]
+    assert c.delete_documents(["1"]).deleted == 2 and c.count() == 4
+
+
+def test_equal_keys_in_two_indexes_stay_apart(spark, tmp_path):
+    engine = Engine(spark, str(tmp_path))
+    for mode in ("keyword", "vector", "hybrid"):
+        c = engine.create(mode, mode=mode)
+        c.index("custom", "a", docs(spark, ROWS[:2]), title="A")
+        c.index("custom", "b", docs(spark, ROWS[:2]), title="B")
+        got = [(r["index_id"], r["key"]) for r in c.search("java")[0].collect()]
+        assert len(got) == len(set(got)) == 4, mode
+    rows = engine.search(["vector", "hybrid"], "java", start=3, most=4)[0].collect()
+    assert [r["rank"] for r in rows] == [3, 4, 5, 6]
+    everything = engine.search(["keyword", "hybrid"], "*")[0].collect()
+    assert [r["rank"] for r in everything] == list(range(1, 9)) and {r["type"] for r in everything} == {"text/plain"}
+
+
+def test_embeddings_by_word_vectors_and_vocabulary(spark, tmp_path):
+    (tmp_path / "embedding").mkdir()
+    (tmp_path / "embedding" / "small.txt").write_text("java 1 0 0\n")
+    (tmp_path / "embedding" / "large.txt").write_text("java 1 0 0\nweb 0 1 0\npython 0 0 1\nflask 0 0 1\n")
+    (tmp_path / "words.txt").write_text("python\njava\n")
+    engine = Engine(spark, str(tmp_path))
+    for name, embedding in (("w", "Word2Vec"), ("p", str(tmp_path / "embedding" / "large.txt"))):
+        c = engine.create(name, mode="vector", embedding=embedding)
+        c.index("custom", "id", docs(spark, [*ROWS, ("4", "x", "nothing known"), ("5", "y", None)]))
+        rows = c.search("flask", most=2)[0].collect()
+        assert rows[0]["key"] == "3" and round(rows[0]["score"], 4) == round((1 + 2 / 5**0.5) / 2, 4)
+        assert {r["key"]: r["vector"] for r in c.docs().collect()}["4"] == [0.0, 0.0, 0.0]
+    t = engine.create("t", mode="vector", vocabulary_path=str(tmp_path / "words.txt"))
+    t.index("custom", "id", docs(spark, ROWS))
+    assert t.meta["vocabulary"] == ["python", "java"] and t.search("java", most=1)[0].first()["key"] in ("1", "2")
+    auto = engine.create("auto", mode="hybrid")
+    auto.index("custom", "id", docs(spark, ROWS))
+    first = list(auto.meta["vocabulary"])
+    auto.index("custom", "id", docs(spark, [("9", "z", "wholly other words here")]))
+    assert auto.meta["vocabulary"] == first and "other" not in first
+    auto.repair()
+    assert "other" in auto.meta["vocabulary"]
+
+
+def test_scripts_that_join_marks_are_found(spark, tmp_path):
+    engine = Engine(spark, str(tmp_path))
+    c = engine.create("thai", language="thai")
+    c.index("custom", "id", docs(spark, [("1", "a", "ที่ นี่"), ("2", "b", "café au lait")]))
+    assert c.search("ที่")[0].count() == 1 and c.search("café")[0].count() == 1
+
+
+def test_marks_scores_and_small_helpers(filled):
+    from orefind.operators.engine import custom
+
+    got = filled[1].search("java^4 web", dialect="explicit", most=1)[0].first()
+    assert '<B score="4.0">Java</B>' in got["context"]["text"] and got["type"] == "text/plain"
+    assert max(p["score"] for p in got["context"]["passages"]) in (4.0, 5.0)
+    assert custom(got, 1) == "" and pytest.raises(ValueError, custom, got, 5)
+    assert filled[1].search("javaor python", compat=True)[0].count() >= 0
