@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from orefind.plans import catalog_queries, packed_queries, search_queries, text_queries
+from orefind.plans import catalog_queries, engine_queries, packed_queries, search_queries, text_queries
 
-_MODULES = (packed_queries, search_queries, catalog_queries, text_queries)
+_MODULES = (packed_queries, search_queries, catalog_queries, text_queries, engine_queries)
 
 
 def queries() -> dict:
