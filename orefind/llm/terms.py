@@ -98,6 +98,7 @@ class TermCounts:
             touched = [str(r["bucket"]) for r in placed.select("bucket").distinct().collect()]
             known = self._read(touched).withColumn("bucket", F.pmod(F.xxhash64("term"), F.lit(self.state["buckets"])).cast("int"))
             placed = placed.unionByName(known)
+        placed = placed.repartition("bucket")  # one file a bucket
         if old or len(deltas) > 1:
             placed = placed.groupBy("field_name", "term", "bucket").agg(F.sum("occurrences").alias("occurrences"), F.sum("records").alias("records"))
         new = f"m{number}"
