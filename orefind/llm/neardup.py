@@ -35,6 +35,8 @@ BUCKETS = 1 << 20
 MET = 2
 # Records in one row or column of a list's grid.
 HOT = 50_000
+# Entries of lists in one partition.
+PARTITION = 400_000
 _PAIRS = 1 << 20
 # Counts of a record's words in 128 buckets, up to 15 each, four bits a bucket: how far two records' counts are apart bounds how
 # far their words are. Every four occurrences of a word have a bucket of their own, or frequent words would fill theirs.
@@ -85,11 +87,11 @@ def _slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.
 
 
 class Lengths:
-    """The lengths of lists by element: exact for heavy ones, estimated from above for others."""
+    """The lengths of lists by element: exact for heavy ones, estimated from above for others; and how many records and elements there are."""
 
-    def __init__(self, heavy: np.ndarray, exact: np.ndarray, tables: np.ndarray) -> None:
+    def __init__(self, heavy: np.ndarray, exact: np.ndarray, tables: np.ndarray, records: int, elements: int) -> None:
         order = np.argsort(heavy)
-        self.heavy, self.exact, self.tables = heavy[order], exact[order], tables
+        self.heavy, self.exact, self.tables, self.records, self.elements = heavy[order], exact[order], tables, records, elements
 
     def __call__(self, element: np.ndarray) -> np.ndarray:
         found = np.minimum(*(self.tables[k][at] for k, at in enumerate(_places(element)))).astype(np.int64)
@@ -112,9 +114,10 @@ def _element_counts(least: int):
         size = 0
 
         def merged() -> tuple[np.ndarray, np.ndarray]:
-            both = np.concatenate((seen, *parts))
-            weight = np.concatenate((counts, np.ones(len(both) - len(seen), np.int64)))
-            order = np.argsort(both, kind="stable")
+            fresh = np.sort(np.concatenate(parts))
+            starts = np.flatnonzero(np.concatenate(([True], fresh[1:] != fresh[:-1])))
+            both, weight = np.concatenate((seen, fresh[starts])), np.concatenate((counts, np.diff(np.append(starts, len(fresh)))))
+            order = np.argsort(both)
             both, weight = both[order], weight[order]
             starts = np.flatnonzero(np.concatenate(([True], both[1:] != both[:-1])))
             return both[starts], np.add.reduceat(weight, starts)
@@ -154,14 +157,25 @@ def _tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def list_lengths(texts: DataFrame, least: int) -> Lengths:
     """The lengths of the lists of all elements, as a table of bounded size: HEAVY times a record's mean size, and two of BUCKETS."""
     counts = written(texts.select("text").mapInArrow(_element_counts(least), "element bigint, n bigint").groupBy("element").agg(F.sum("n").alias("n")), "elements")
-    records = counts.filter("element is null").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    of = counts.groupBy(F.col("element").isNull().alias("whole")).agg(F.sum("n").alias("n")).collect()
+    records, elements = (next((r["n"] for r in of if r["whole"] == w), 0) for w in (True, False))
     known = counts.filter("element is not null")
     heavy = known.filter(F.col("n") * HEAVY > records).filter("n > 1").toArrow()
     light = known.filter((F.col("n") * HEAVY <= records) | (F.col("n") <= 1)).mapInArrow(_tables, "bucket int, x bigint, y bigint").groupBy("bucket").agg(F.sum("x").alias("x"), F.sum("y").alias("y")).toArrow()
     tables = np.zeros((2, BUCKETS), np.uint32)
     for k in range(2):
         tables[k][light.column(0).to_numpy()] = np.minimum(light.column(k + 1).to_numpy(), (1 << 32) - 1)
-    return Lengths(heavy.column(0).to_numpy().view(_U), heavy.column(1).to_numpy(), tables)
+    return Lengths(heavy.column(0).to_numpy().view(_U), heavy.column(1).to_numpy(), tables, records, elements)
+
+
+def _by_length(owner: np.ndarray, length: np.ndarray, element: np.ndarray) -> np.ndarray:
+    """The order of elements by owner (less than 1024), length and element."""
+    key = (owner.astype(_U) << _U(54)) | (np.minimum(length, (1 << 32) - 1).astype(_U) << _U(22)) | (element >> _U(42))
+    order = np.argsort(key)
+    ordered = key[order]
+    if (ordered[1:] == ordered[:-1]).any():  # not told apart by that much of the element
+        return np.lexsort((element, length, owner))
+    return order
 
 
 def _records(least: int, num: int, den: int, lengths):
@@ -179,7 +193,7 @@ def _records(least: int, num: int, den: int, lengths):
                 prints = [np.add.reduceat(_mixed(element ^ _U(s)), starts).view(np.int64) for s in (0x51ED270B, 0xA24BAED4963EE407)]
             counts = np.minimum(np.bincount(owner * 128 + (word >> _U(57)).astype(np.int64), minlength=count * 128), 15).astype(np.uint8).reshape(count, 128)
             sketch = np.ascontiguousarray(counts[:, :64] | (counts[:, 64:] << 4)).view(np.int64)
-            order = np.lexsort((element, length_of(element), owner))
+            order = _by_length(owner, length_of(element), element)
             place = np.arange(len(order)) - np.repeat(starts, sizes)
             short = place < np.repeat(sizes - (num * sizes + den - 1) // den + MET, sizes)
             first = np.array([p not in met and not met.add(p) for p in zip(prints[0].tolist(), prints[1].tolist(), strict=True)])
@@ -237,6 +251,14 @@ def _listed(num: int, den: int, lengths):
     return run
 
 
+_LOW, _ONES = _U(0x0F0F0F0F0F0F0F0F), _U(0x0101010101010101)
+
+
+def _apart(p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """How far bytes of numbers up to 15 are apart, byte by byte."""
+    return np.abs(p.view(np.int8) - q.view(np.int8))
+
+
 def _met(num: int, den: int):
     """Merges the lists of a partition, sorted by list and size, into pairs and how often they met; ``least`` is how often a pair must meet."""
 
@@ -247,8 +269,11 @@ def _met(num: int, den: int):
         index, probe = np.flatnonzero(role & 1), np.flatnonzero(role & 2)
         at = (group[index] << 32) + n[index]
         low = np.searchsorted(at, (group[probe] << 32) + (num * n[probe] + den - 1) // den)
-        many = np.searchsorted(at, (group[probe] << 32) + n[probe], "right") - low
-        sketch = np.stack(sketches, 1).view(np.uint8)
+        # a pair's first MET meetings leave enough behind them in both records: what is left of one, less its own part of the overlap
+        left = (n - place + MET - 1) * (num + den) - num * n
+        most = np.minimum(n[probe], np.maximum(left[probe] // num, 0))
+        many = np.maximum(np.searchsorted(at, (group[probe] << 32) + most, "right") - low, 0)
+        sketches = [x.view(_U) for x in sketches]
         ends = np.cumsum(many)
         start = 0
         while start < len(probe):
@@ -257,15 +282,16 @@ def _met(num: int, den: int):
             b = np.repeat(probe[start:stop], size)
             a = index[np.repeat(low[start:stop], size) + np.arange(len(b)) - np.repeat(np.cumsum(size) - size, size)]
             start = stop
+            keep = np.flatnonzero(left[a] >= np.repeat(num * n[probe[stop - len(size) : stop]], size))
+            a, b = a[keep], b[keep]
+            keep = np.flatnonzero((n[a] < n[b]) | (who[a] < who[b]))  # of records of one size, the smaller id is looked up
+            a, b = a[keep], b[keep]
             need = (num * (n[a] + n[b]) + num + den - 1) // (num + den)
-            # of records of one size, the smaller id is looked up; a pair's first MET meetings leave enough behind them
-            keep = (np.minimum(n[a] - place[a], n[b] - place[b]) + MET - 1 >= need) & ((n[a] < n[b]) | (who[a] < who[b]))
-            a, b, need = a[keep], b[keep], need[keep]
             spare = n[a] + n[b] - 2 * need
-            for part in range(0, 64, 16):  # most are out after the first part
-                p, q = sketch[a, part : part + 16], sketch[b, part : part + 16]
-                spare = spare - (np.abs((p & 15).view(np.int8) - (q & 15).view(np.int8)) + np.abs((p >> 4).view(np.int8) - (q >> 4).view(np.int8))).sum(1, dtype=np.int64)
-                keep = spare >= 0
+            for words in sketches:  # most are out after the first
+                p, q = words[a], words[b]
+                spare = spare - ((_apart(p & _LOW, q & _LOW) + _apart((p >> _U(4)) & _LOW, (q >> _U(4)) & _LOW)).view(_U) * _ONES >> _U(56)).view(np.int64)
+                keep = np.flatnonzero(spare >= 0)
                 a, b, spare = a[keep], b[keep], spare[keep]
             if len(a):
                 x, y, least = who[a], who[b], np.minimum(MET, (num * (n[a] + n[b]) + num + den - 1) // (num + den))
@@ -329,7 +355,8 @@ def similar_classes(df: DataFrame, id_col: str, text_col: str, least_words: int
     num, den = similarity
     spark = df.sparkSession
     texts = df.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    lengths = spark.sparkContext.broadcast(list_lengths(texts, least_words))
+    of_lists = list_lengths(texts, least_words)
+    lengths = spark.sparkContext.broadcast(of_lists)
     records = written(texts.mapInArrow(_records(least_words, num, den, lengths), f"id bigint, p1 bigint, p2 bigint, n bigint, lists array<bigint>, first boolean, {_KINDS}"), "records")
     # the class is named by its smallest id, and looked up by the smallest of those that carry its lists
     by_print = records.groupBy("p1", "p2").agg(F.min("id").alias("class"), F.min(F.when(F.col("first"), F.col("id"))).alias("speaker"))
@@ -339,7 +366,10 @@ def similar_classes(df: DataFrame, id_col: str, text_col: str, least_words: int
     silent = records.filter("first").select("id", "p1", "p2").join(by_print.select("p1", "p2", "speaker"), ["p1", "p2"]).filter("id <> speaker").select("id")
     speakers = records.filter("first").select("id", "n", "lists", *_SKETCH).join(silent, "id", "left_anti")
     listed = speakers.mapInArrow(_listed(num, den, lengths), f"list bigint, entry bigint, id bigint, {_KINDS}")
-    met = listed.repartition("list").sortWithinPartitions("list", "entry").mapInArrow(_met(num, den), "a bigint, b bigint, met bigint, least bigint")
+    # as many partitions as keep the entries of each, about PARTITION of them, in a task's memory
+    entries = of_lists.elements * (den - num) // den + MET * of_lists.records
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-entries // PARTITION))
+    met = listed.repartition(parts, "list").sortWithinPartitions("list", "entry").mapInArrow(_met(num, den), "a bigint, b bigint, met bigint, least bigint")
     met = met.groupBy("a", "b").agg(F.sum("met").alias("met"), F.max("least").alias("least")).filter("met >= least").select("a", "b")
     met = written(met, "candidates")
     asked = met.select(F.col("a").alias("id")).union(met.select("b")).distinct()
