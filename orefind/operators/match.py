@@ -277,6 +277,7 @@ def with_rank(rows: DataFrame, order: Iterable[Column], first: int = 1) -> DataF
     """All rows with their rank in an order, from ``first``. Rows are ranged over partitions by the order and numbered within, and what
     lies before a partition is added: no task has more than its part. What reaches the driver is a row a partition."""
     order = list(order)
+    rows = written(rows, "found")  # ranges are drawn from a sample: what finds the rows runs once
     placed = written(rows.repartitionByRange(*order).withColumn("__part", F.spark_partition_id()), "ranked")
     before, starts = first - 1, []
     for r in placed.groupBy("__part").agg(F.count("*").alias("n")).orderBy("__part").collect():

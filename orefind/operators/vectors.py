@@ -96,7 +96,8 @@ class TermWeights(Embedding):
         return 1 + math.log(1 + 10 * i / len(self.words))
 
     def generate(self, text: Column) -> Column:
-        raw = let(tfidf_tokens(F.coalesce(text, F.lit("")), self.english), lambda tok: F.array(*(_count(tok, w) * self.weight(i) for i, w in enumerate(self.words))))
+        known = F.filter(tfidf_tokens(F.coalesce(text, F.lit("")), self.english), lambda t: t.isin(self.words))  # by a hash set
+        raw = let(known, lambda tok: F.array(*(_count(tok, w) * self.weight(i) for i, w in enumerate(self.words))))
         trace = lambda v: F.when(F.exists(v, lambda x: x != 0), v).otherwise(F.transform(v, lambda x, i: F.when(i == 0, F.lit(1e-5)).otherwise(x)))
         return let(normalised(raw), trace)
 
