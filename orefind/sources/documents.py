@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -12,7 +11,8 @@ from pyspark.sql import functions as F
 
 from orefind.functions.text import document_uid, extension, extension_allowed, host_of, normal_url, summary, timestamp_text
 from orefind.sources.html import charset_of, read_html
-from orefind.sources.shared import written
+from orefind.sources.pdf import pdf_text
+from orefind.sources.shared import shared_folder
 
 COLUMNS = (
     "key string, title string, contents string, filename string, summary string, keywords string, author string, custom1 string, custom2 string, custom3 string, custom4 string, "
@@ -60,26 +60,6 @@ def one_row_source(spark: SparkSession, key: str, text: str, title: str | None =
     return rows_source(df, "key", ["body"], "title", "url", custom)
 
 
-def pdf_text(data: bytes) -> tuple[str, dict]:
-    """What can be read of a PDF without a library: the strings that text operators show in its plain and deflated streams, and its document information."""
-    info = {k.decode(): v.decode("latin-1") for k, v in re.findall(rb"/(Title|Author|Subject|Keywords|Creator|Producer|CreationDate|ModDate|Trapped)\s*\(((?:[^()\\]|\\.)*)\)", data)}
-    out = []
-    for m in re.finditer(rb"stream\r?\n(.*?)\r?\nendstream", data, re.S):
-        chunk = m.group(1)
-        try:
-            chunk = zlib.decompress(chunk)
-        except zlib.error:
-            pass
-        for block in re.findall(rb"BT(.*?)ET", chunk, re.S):
-            line = []
-            for s in re.finditer(rb"\(((?:[^()\\]|\\.)*)\)\s*(?:Tj|'|\")|\[(.*?)\]\s*TJ", block, re.S):
-                parts = [s.group(1)] if s.group(1) is not None else re.findall(rb"\(((?:[^()\\]|\\.)*)\)", s.group(2), re.S)
-                line.append(b"".join(re.sub(rb"\\(\d{3}|.)", lambda e: bytes([int(e.group(1), 8) & 255]) if e.group(1).isdigit() and len(e.group(1)) == 3 else {b"n": b"\n", b"r": b"", b"t": b"\t"}.get(e.group(1), e.group(1)), p) for p in parts).decode("cp1252", "replace"))
-            if line:
-                out.append(" ".join(line))
-    return "\n".join(out), info
-
-
 def word_text(data: bytes) -> str:
     """The readable runs of a binary word-processor file, in either of its two character widths."""
     wide = [m.group().decode("utf-16-le", "ignore") for m in re.finditer(rb"(?:[\x20-\x7e\xa0-\xff\r\n\t]\x00){8,}", data)]
@@ -104,18 +84,17 @@ def kind_of(name: str, head: bytes) -> str:
     return "text"
 
 
-def read_file(name: str, data: bytes | None, charset: str = "utf-8") -> dict:
-    """The fields that a file's bytes give; an error's text in ``error`` instead of an exception."""
+def read_bytes(kind: str, data: bytes | None, charset: str, sure: bool = False) -> dict:
+    """The fields that bytes of a kind give; an error's text in ``error`` instead of an exception. ``sure`` says that the page itself isn't asked for its charset."""
     out: dict = {"title": None, "contents": None, "summary": None, "keywords": None, "author": None, "mime_type": None, "error": None, **dict.fromkeys(("custom1", "custom2", "custom3", "custom4"))}
     try:
         data = data or b""
-        kind = kind_of(name, data[:512])
         if kind == "html":
-            got = read_html(data.decode(charset_of(data) or charset, "replace"))
+            got = read_html(data.decode(charset if sure else charset_of(data) or charset, "replace"))
             out |= {k: got[k] for k in ("title", "contents", "summary", "keywords", "author", "custom1", "custom2", "custom3", "custom4")} | {"mime_type": "text/html"}
         elif kind == "pdf":
             text, info = pdf_text(data)
-            out |= {"contents": text, "title": info.get("Title"), "author": info.get("Author"), "keywords": info.get("Keywords"), "mime_type": "application/pdf"}
+            out |= {"contents": text, "title": info.get("Title"), "author": info.get("Author"), "keywords": info.get("Keywords"), "summary": info.get("Subject"), "mime_type": "application/pdf"}
         elif kind == "word":
             out |= {"contents": word_text(data), "mime_type": "application/msword"}
         else:
@@ -125,6 +104,11 @@ def read_file(name: str, data: bytes | None, charset: str = "utf-8") -> dict:
     return out
 
 
+def read_file(name: str, data: bytes | None, charset: str = "utf-8") -> dict:
+    """As read_bytes, the kind being told by the file's name or first bytes."""
+    return read_bytes(kind_of(name, (data or b"")[:512]), data, charset)
+
+
 _READ = "title string, contents string, summary string, keywords string, author string, mime_type string, custom1 string, custom2 string, custom3 string, custom4 string, error string"
 
 
@@ -153,50 +137,129 @@ def files_source(spark: SparkSession, path: str, extensions: list[str] | None =
     return _filled(docs), made.filter("error is not null").select("path", "error")
 
 
+def resolved_path(path: Column) -> Column:
+    """A path without its dot segments: ``.`` goes, ``..`` takes the part before it along."""
+    parts = F.split(path, "/", -1)
+
+    def step(done: Column, part: Column) -> Column:
+        up = F.when(F.size(done) > 1, F.slice(done, 1, F.size(done) - 1)).otherwise(done)
+        return F.when(part == ".", done).when(part == "..", up).otherwise(F.concat(done, F.array(part)))
+
+    made = F.array_join(F.aggregate(parts, F.array().cast("array<string>"), step), "/")
+    folder = path.rlike(r"(?:^|/)\.\.?$") & ~F.endswith(made, F.lit("/"))
+    return F.when(path.rlike(r"(?:^|/)\.\.?(?:/|$)"), F.concat(made, F.when(folder, "/").otherwise(""))).otherwise(path)
+
+
 def links_of(pages: DataFrame) -> DataFrame:
-    """url, link: the absolute addresses that pages (url, html) link to, normalised."""
+    """url, link: the absolute addresses that pages (url, html) link to, normalised; of http and https alone."""
     href = F.explode(F.regexp_extract_all("html", F.lit(r"(?i)<a\s[^>]*?href\s*=\s*[\"']?([^\"'\s>]+)"), 1))
     raw = pages.select("url", href.alias("h")).select("url", F.replace("h", F.lit("&amp;"), F.lit("&")).alias("href"))
     root = F.regexp_extract("url", r"^(https?://[^/?#]+)", 1)
     folder = F.regexp_extract("url", r"^(https?://[^/?#]+(?:/[^?#]*/|/)?)", 1)
-    link = F.when(F.col("href").rlike("(?i)^https?://"), F.col("href")).when(F.startswith("href", F.lit("//")), F.concat(F.regexp_extract("url", "^(https?:)", 1), "href")).when(F.startswith("href", F.lit("/")), F.concat(root, "href")).when(F.col("href").rlike("^(?:#|[a-zA-Z][a-zA-Z0-9+.-]*:)"), None).otherwise(F.concat(F.regexp_replace(folder, "/+$", ""), F.lit("/"), "href"))
-    return raw.select("url", normal_url(link).alias("link")).filter("link is not null").distinct()
+    link = F.when(F.col("href").rlike("(?i)^https?://"), F.col("href")).when(F.startswith("href", F.lit("//")), F.concat(F.regexp_extract("url", "^(https?:)", 1), "href")).when(F.startswith("href", F.lit("/")), F.concat(root, "href")).when(F.col("href").rlike("^(?:#|[a-zA-Z][a-zA-Z0-9+.-]*:)"), None)
+    link = link.when(F.startswith("href", F.lit("?")), F.concat(F.regexp_extract("url", r"^([^?#]*)", 1), "href")).otherwise(F.concat(F.regexp_replace(folder, "/+$", ""), F.lit("/"), "href"))
+    found = raw.select("url", link.alias("link")).filter("link is not null")
+    shape = r"^([A-Za-z]+://[^/?#]*)([^?#]*)(.*)$"
+    whole = F.concat(F.regexp_extract("link", shape, 1), resolved_path(F.regexp_extract("link", shape, 2)), F.regexp_extract("link", shape, 3))
+    return found.select("url", normal_url(whole).alias("link")).distinct()
 
 
-def crawled(pages: DataFrame, seed: str, recurse: bool = True, extensions: tuple[str, ...] = CRAWLED, most_rounds: int | None = None) -> DataFrame:
-    """The pages (url, html) that can be reached from ``seed`` over links of its host with an allowed extension or none.
+FETCHED = "url string, status int, mime_type string, content binary, error string"
 
-    A frontier of addresses moves on by joins until nothing new is met; each round is written to the shared folder. ``pages`` stands for
-    the web: fetching is a source that fills it. The start itself is always taken. A crawl that isn't done after ``most_rounds`` raises an error.
-    """
-    spark = pages.sparkSession
-    web = pages.withColumn("url", normal_url(F.col("url"))).dropDuplicates(["url"])
-    start = spark.createDataFrame([(seed,)], "url string").select(normal_url(F.col("url")).alias("url"))
-    host = host_of(F.lit(seed))
-    seen = written(start, "crawl")
-    frontier = seen
+
+def fetch_pages(urls: DataFrame, agent: str = "orefind", seconds: float = 50.0) -> DataFrame:
+    """url, status, mime_type, content, error of each address, fetched where the executors are; what fails has its error's text instead of a content."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from urllib.error import HTTPError
+        from urllib.request import Request, urlopen
+
+        for b in batches:
+            rows = []
+            for url in b["url"]:
+                try:
+                    with urlopen(Request(url, headers={"User-Agent": agent}), timeout=seconds) as got:  # noqa: S310 - addresses are the crawl's own
+                        rows.append((url, got.status, got.headers.get("Content-Type"), got.read(), None))
+                except HTTPError as e:
+                    rows.append((url, e.code, e.headers.get("Content-Type"), None, f"HTTP {e.code}"))
+                except Exception as e:  # noqa: BLE001 - one bad address must not end the crawl
+                    rows.append((url, None, None, None, f"{type(e).__name__}: {e}"))
+            yield pd.DataFrame(rows, columns=[c.split()[0] for c in FETCHED.split(", ")])
+
+    return urls.select("url").repartition("url").mapInPandas(run, FETCHED)
+
+
+def _allowed(links: DataFrame, seed: str, extensions: tuple[str, ...]) -> DataFrame:
+    """Of addresses (url) those of the seed's host with an allowed extension or none."""
+    path = F.regexp_replace(F.regexp_replace("url", r"[?#].*$", ""), r"^https?://[^/]*", "")
+    return links.filter((host_of(F.col("url")) == host_of(F.lit(seed))) & extension(path).isin("", *extensions))
+
+
+def _rounds(spark: SparkSession, seed: str, recurse: bool, extensions: tuple[str, ...], most_rounds: int | None, html_of) -> DataFrame:
+    """The addresses that are reached from ``seed``, round by round, each written beside the others; ``html_of`` gives the pages (url, html) of a frontier."""
+    base = shared_folder(spark, "crawl")
+    seen = lambda: spark.read.schema("url string, round int").parquet(base).select("url")
+    frontier = spark.createDataFrame([(seed,)], "url string").select(normal_url(F.col("url")).alias("url"))
+    frontier.write.parquet(f"{base}/round=0")
     done = 0
-    while recurse:
-        links = links_of(web.join(frontier, "url", "left_semi")).select(F.col("link").alias("url")).distinct()
-        path = F.regexp_replace("url", r"[?#].*$", "")
-        ext = extension(F.regexp_replace(path, r"^https?://[^/]*", ""))
-        new = written(links.filter((host_of(F.col("url")) == host) & ext.isin("", *extensions)).join(seen, "url", "left_anti"), "crawl")
-        if new.isEmpty():
+    while True:
+        frontier = spark.read.schema("url string").parquet(f"{base}/round={done}")
+        pages = html_of(frontier, done)
+        if not recurse:
+            break
+        links = _allowed(links_of(pages).select(F.col("link").alias("url")).distinct(), seed, extensions)
+        links.join(seen(), "url", "left_anti").write.parquet(f"{base}/round={done + 1}")
+        if spark.read.schema("url string").parquet(f"{base}/round={done + 1}").isEmpty():
             break
         if done == most_rounds:
             raise ValueError(f"the crawl of {seed} is not done after {most_rounds} rounds")
         done += 1
-        seen, frontier = written(seen.unionByName(new), "crawl"), new
+    return seen()
+
+
+def crawled(pages: DataFrame, seed: str, recurse: bool = True, extensions: tuple[str, ...] = CRAWLED, most_rounds: int | None = None) -> DataFrame:
+    """The pages (url, html) that can be reached from ``seed`` over links of its host with an allowed extension or none.
+
+    A frontier of addresses moves on by joins until nothing new is met; each round is written to the shared folder. ``pages`` stands for
+    the web; ``crawled_web`` fetches instead. The start itself is always taken. A crawl that isn't done after ``most_rounds`` raises an error.
+    """
+    web = pages.withColumn("url", normal_url(F.col("url"))).dropDuplicates(["url"])
+    seen = _rounds(pages.sparkSession, seed, recurse, extensions, most_rounds, lambda frontier, _: web.join(frontier, "url", "left_semi"))
     return web.join(seen, "url", "left_semi")
 
 
+def crawled_web(spark: SparkSession, seed: str, recurse: bool = True, extensions: tuple[str, ...] = CRAWLED, most_rounds: int | None = None, fetch=fetch_pages) -> tuple[DataFrame, DataFrame]:
+    """Documents of the pages that are reached from ``seed``, fetched round by round, and the (url, error) of those that weren't had."""
+    base = shared_folder(spark, "fetched")
+
+    def html_of(frontier: DataFrame, done: int) -> DataFrame:
+        fetch(frontier).write.parquet(f"{base}/round={done}")
+        got = spark.read.schema(FETCHED).parquet(f"{base}/round={done}")
+        return got.filter((F.col("status") == 200) & F.lower("mime_type").startswith("text/html")).select("url", F.decode("content", WEB_CHARSET).alias("html"))
+
+    _rounds(spark, seed, recurse, extensions, most_rounds, html_of)
+    everything = spark.read.schema(FETCHED).parquet(base)
+    return pages_source(everything, "mime_type"), everything.filter("error is not null or status <> 200").select("url", F.coalesce("error", F.concat(F.lit("HTTP "), F.col("status").cast("string"))).alias("error"))
+
+
 def pages_source(pages: DataFrame, mime_col: str | None = None) -> DataFrame:
-    """Documents of pages (url, html); with a media type column, only those of a known type."""
-    from orefind.sources.html import html_fields
+    """Documents of pages: url and html (text), or content (bytes). With a column status only those of 200; with a media type column only
+    those of a known type, each read as what it is, text in the charset that the type or the page names, else in WEB_CHARSET."""
+    if "status" in pages.columns:
+        pages = pages.filter("status = 200")
+    kind = F.lit("text/html") if mime_col is None else F.lower(F.trim(F.regexp_extract(mime_col, "^([^;]*)", 1)))
+    charset = F.lit("") if mime_col is None else F.regexp_extract(mime_col, r"(?i)charset\s*=\s*\"?([\w-]+)", 1)
+    known = pages.select("url", kind.alias("__kind"), charset.alias("__charset"), (F.col("content") if "content" in pages.columns else F.encode("html", "UTF-8")).alias("__data")).filter(F.col("__kind").isin(*KINDS))
+    if "content" not in pages.columns:
+        known = known.withColumn("__charset", F.lit("utf-8"))
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            got = pd.DataFrame([read_bytes(KINDS[k], d, c or WEB_CHARSET, bool(c)) for k, c, d in zip(b["__kind"], b["__charset"], b["__data"], strict=True)], columns=[c.split()[0] for c in _READ.split(", ")], dtype=object)
+            yield pd.concat([b[["url"]].reset_index(drop=True), got.reset_index(drop=True)], axis=1)
 
-    known = pages if mime_col is None else pages.filter(F.lower(F.regexp_extract(mime_col, "^([^;]*)", 1)).isin(*KINDS))
-    got = known.select("url", html_fields(F.col("html")).alias("f"))
-    docs = got.select(F.col("url").alias("key"), "url", "f.title", "f.contents", F.coalesce("f.summary", summary(F.col("f.contents"))).alias("summary"), "f.keywords", "f.author", "f.custom1", "f.custom2", "f.custom3", "f.custom4", F.lit("text/html").alias("mime_type"), F.length("f.contents").cast("string").alias("size"), F.regexp_extract("url", r"([^/?#]*)(?:[?#].*)?$", 1).alias("filename"))
+    got = known.mapInPandas(read, f"url string, {_READ}").filter("error is null")
+    docs = got.select(F.col("url").alias("key"), "url", "title", "contents", F.coalesce("summary", summary(F.col("contents"))).alias("summary"), "keywords", "author", "custom1", "custom2", "custom3", "custom4", "mime_type", F.length("contents").cast("string").alias("size"), F.regexp_extract("url", r"([^/?#]*)(?:[?#].*)?$", 1).alias("filename"))
     return _filled(docs)
 
 
