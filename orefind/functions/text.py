@@ -54,13 +54,24 @@ STEMS = {
 }
 
 
+# Words that say nothing, of the languages whose analyzers leave them out; english keeps all words.
+STOPS = {
+    "german": "der die das und oder in den von zu mit ist ein eine auf für".split(), "french": "le la les des et ou un une dans en du de à est que".split(), "spanish": "el la los las de y o en un una que es por con para".split(),
+    "italian": "il lo la gli le di e o in un una che è per con".split(), "portuguese": "o a os as de e ou em um uma que é por com para".split(), "brazilian": "o a os as de e ou em um uma que é por com para".split(),
+    "dutch": "de het een en of in van op te met is dat die".split(), "swedish": "och eller i en ett den det att av på som är".split(), "norwegian": "og eller i en et den det å av på som er".split(), "danish": "og eller i en et den det at af på som er".split(),
+    "russian": "и в не на что с по из у за от или".split(), "finnish": "ja tai on ei se että oli".split(), "hungarian": "a az és vagy egy hogy nem is".split(), "czech": "a i nebo v na se je že do s".split(),
+}
+
+
 def tokens(text: Column, language_name: str | None = "english") -> Column:
     """The tokens of a text in order. english: lower case, nothing cut off; japanese and korean: pairs of neighbouring
-    characters; languages with endings: light stems; others as english. Null gives an empty array."""
+    characters; languages with endings: light stems, without the words of STOPS; others as english. Null gives an empty array."""
     name = check_language(language_name)
     words = F.coalesce(F.regexp_extract_all(F.lower(text), F.lit(TOKEN), 0), F.array().cast("array<string>"))
     if name in ("japanese", "korean"):
         return cjk_bigrams(words)
+    if name in STOPS:
+        words = F.filter(words, lambda w: ~w.isin(STOPS[name]))
     if name in STEMS:
         return F.transform(words, lambda w: F.regexp_replace(w, STEMS[name], ""))
     return words

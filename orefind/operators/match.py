@@ -152,6 +152,7 @@ def analysed(text: str, language: str | None = "english") -> list[str]:
     found = _TOKEN.findall(text.lower())
     if name in ("japanese", "korean"):
         return [p for w in found for p in ([w[i : i + 2] for i in range(len(w) - 1)] if _CJK.fullmatch(w) else [w])]
+    found = [w for w in found if w not in t.STOPS.get(name, ())]
     if name in t.STEMS:
         return [_stem(w, t.STEMS[name]) for w in found]
     return found

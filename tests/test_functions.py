@@ -78,8 +78,9 @@ def test_vectors(spark):
 def test_query_words_are_cut_as_documents_are(spark):
     from orefind.operators.match import analysed
 
-    for text, lang in (("ที่ x", "thai"), ("Cafe\u0301 it's 3.14", "english"), ("বাংলা", "bengali"), ("東京都 data 語", "japanese"), ("häuser_x", "german")):
+    for text, lang in (("ที่ x", "thai"), ("Cafe\u0301 it's 3.14", "english"), ("বাংলা", "bengali"), ("東京都 data 語", "japanese"), ("häuser_x", "german"), ("Der Hund und die Katzen", "german"), ("Les chats et les chiens", "french")):
         assert analysed(text, lang) == one(spark, t.tokens(F.lit(text), lang)), text
+    assert one(spark, t.tokens(F.lit("Der Hund und die Katzen"), "german")) == ["hund", "katz"] and one(spark, t.tokens(F.lit("the cats"))) == ["the", "cats"]
 
 
 def test_edits_count_exchanged_neighbours(spark):
