@@ -29,10 +29,13 @@ _LOWER = "a-zß-öø-ÿāăąćčďđęěğıłńňœřśşšťůźżžșț"
 _UPPER = "À-ÖØ-ÞĂĄĆČĎĐĘĚŁŃŇŒŘŚŠŤŮŹŻŽŸ"
 # Signs that stand in no word, and letters of other scripts, between or beside Latin lower-case letters.
 _ODD = "¢¤¥¦§¨ª¬¯±²³´µ¶¸¹º¼½¾×÷ˆ˙˚˛˜˝†‡‰ƒ‚„ⁿ∂∑√∫≈≠≤≥∞∏π◊ﬁﬂΓΘΣΦΩαδεστφ⌐⌠⌡░▒▓─│┐└┴┬├┼╞╟╚╔╩╦╠═╬╧╨╤╥╙╘╒╓╫╪┘┌█▄▌▐▀║╗╝╜╛╖╕╢╡╣┤»«€£™®©"
+# Cyrillic inside a Latin word; letters in the place of quotation marks, or of the apostrophe before the end of an English word.
+_INSTEAD = r"(?<!\w)ô[A-Za-z]\w*ö(?!\w)|(?<=[a-z]n)ít(?!\w)"
+_MIXED = re.compile(f"[a-z]{{2}}[Ѐ-џ]|[Ѐ-џ][a-z]{{2}}|{_INSTEAD}")
 _ODD_WORD = re.compile(
     f"[{_LOWER}][{_ODD}\x80-\x9f][{_LOWER}]|[{_LOWER}]{{2}}[▀ﬂ‰§³¹ˆ¸˙˚÷ⁿ±¿¶]|\\b[A-ZÀ-Þ][{_ODD}\x80-\x9f][{_LOWER}]{{2}}"  # a sign inside a word
     f"|[{_LOWER}][{_UPPER}][{_LOWER}]|\\b[A-Z][{_UPPER}][{_LOWER}]|(?<!\\w)[øїÀ└┐ї][A-Z][{_LOWER}]{{2}}|[{_LOWER}]{{3}}[{_UPPER}](?!\\w)"  # a capital inside one
-    "|[a-z]{2}[Ѐ-џ]|[Ѐ-џ][a-z]{2}"  # Cyrillic inside a Latin word
+    f"|[a-z]{{2}}[Ѐ-џ]|[Ѐ-џ][a-z]{{2}}|{_INSTEAD}"
     "|(?<=\\s)[ªÈÐÆ╗║╧¯](?=\\s)"  # a sign or letter alone that is neither word nor sign
     "|(?<!\\w)ì[A-Za-zÀ-ÿ]"  # a quotation mark become a letter
     "|[À-ÿ¸¨¹]{4}|[─-▟](?![─-▟])|[\x80-\x84\x86-\x9f]"
@@ -175,11 +178,11 @@ def _odd(word: str) -> int:
 
 def _evidence(words: set[str]) -> float:
     """How much different words say that their text is garbled: an odd word 1; one without three letters on end, such as a unit or a
-    formula, 0.25; a letter alone, which is a word in some language, 0.4. Less than 1 is none."""
+    formula, 0.25; a letter alone, which is a word in some language, 0.4, or a name of a letter, 0.6. Less than 1 is none."""
     whole = 0.0
     for w in words:
         if odd := _odd(w):
-            whole += (0.4 if w.isalpha() else 1.0) if len(w) == 1 else min(odd, 1) if _WORD_LIKE.search(w) else 0.25
+            whole += (0.6 if w == "Ð" else 0.4 if w.isalpha() else 1.0) if len(w) == 1 else min(odd, 1) if _WORD_LIKE.search(w) else 0.25
     return whole
 
 
@@ -222,7 +225,7 @@ def repair(text: str | None) -> tuple[bool, str | None]:
     """
     if not text or text.isascii():
         return False, text
-    plain = _RUSSIAN_TOO.issuperset(text) and not _CASES.search(text)
+    plain = _RUSSIAN_TOO.issuperset(text) and not _CASES.search(text) and not _MIXED.search(text)
     if plain and not _CYRILLIC.search(text):
         return False, text
     garbled, now = "\ufffd" in text, text
