@@ -225,7 +225,9 @@ def repair(text: str | None) -> tuple[bool, str | None]:
     """
     if not text or text.isascii():
         return False, text
-    plain = _RUSSIAN_TOO.issuperset(text) and not _CASES.search(text) and not _MIXED.search(text)
+    plain = _RUSSIAN_TOO.issuperset(text) and not _CASES.search(text)
+    if plain and (_CYRILLIC_LETTER.search(text) or "nít" in text or "ô" in text and "ö" in text):  # without these the pattern isn't met
+        plain = not _MIXED.search(text)
     if plain and not _CYRILLIC.search(text):
         return False, text
     garbled, now = "\ufffd" in text, text
