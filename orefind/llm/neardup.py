@@ -8,6 +8,10 @@ are counted, pair by pair, and those that reach MET, and that size, place in the
 rule out, are candidates. The long lists are kept the other way round, by record and sorted, so that a candidate is
 looked up in all of a record's long lists by binary search in one row; pairs that reach T are checked word for word.
 
+Two records of a list are compared by their sketches, as many comparisons as the square of the list's length: words that a
+subject has in common make long lists however large the table is. Lists of many pairs are compared in blocks, a row of
+records against a column, so that a comparison is a few machine instructions; the others list after list at once.
+
 Records with the same bag of words are one class from the start, so copies meet in no list. A list of more than ``HOT``
 records is cut into a grid: a record is indexed in one row of cells and looks others up in one column, so each two meet in
 one cell, and no cell has more than about 2 HOT entries.
@@ -34,12 +38,17 @@ BUCKETS = 1 << 20
 # Meetings in short lists that make a candidate.
 MET = 2
 # Records in one row or column of a list's grid.
-HOT = 50_000
+HOT = 250_000
 # Entries of lists in one partition.
 PARTITION = 400_000
 _PAIRS = 1 << 20
-# Counts of a record's words in 128 buckets, up to 15 each, four bits a bucket: how far two records' counts are apart bounds how
-# far their words are. Every four occurrences of a word have a bucket of their own, or frequent words would fill theirs.
+# Pairs of a list from which on it is compared in blocks, and the records of a block's row and column.
+DENSE = 1 << 22
+_ROW, _COLUMN = 128, 1024
+# Whether a record has an odd number of elements in each of 512 buckets, a bit a bucket; of records of less than WIDE elements, for which
+# that is enough, in each of 256, and the other four words are 0. Each element that one of two records lacks changes one bit, so
+# the bits in which they differ are a lower bound of how far their elements are. The first half XOR the second has 256 buckets for all.
+WIDE = 330
 _SKETCH = tuple(f"s{i}" for i in range(8))
 _KINDS = ", ".join(f"{c} bigint" for c in _SKETCH)
 _U = np.uint64
@@ -57,8 +66,8 @@ def words_of(text: str) -> list[str]:
     return [w for w in text.lower().replace("\t", " ").replace("\r", " ").replace("\n", " ").split(" ") if w]
 
 
-def _elements(texts: list[str | None], least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of the texts of at least ``least`` words: their places, sizes, and hashes of all their elements and of every four elements of a word, text after text."""
+def _elements(texts: list[str | None], least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of the texts of at least ``least`` words: their places, sizes, and hashes of all their elements, text after text."""
     rows, sizes, words = [], [], []
     for i, t in enumerate(texts):
         if t is not None and len(w := words_of(t)) >= least:
@@ -68,7 +77,7 @@ def _elements(texts: list[str | None], least: int) -> tuple[np.ndarray, np.ndarr
     codes, distinct = pd.factorize(np.array(words, dtype=object))
     sizes = np.array(sizes, dtype=np.int64)
     if not len(words):
-        return np.array(rows, dtype=np.int64), sizes, np.empty(0, _U), np.empty(0, _U)
+        return np.array(rows, dtype=np.int64), sizes, np.empty(0, _U)
     of_word = pd.util.hash_array(distinct.astype(object), categorize=False)
     key = np.repeat(np.arange(len(rows)), sizes) * len(distinct) + codes
     key.sort()
@@ -77,7 +86,7 @@ def _elements(texts: list[str | None], least: int) -> tuple[np.ndarray, np.ndarr
     seen = at - np.maximum.accumulate(np.where(new, at, 0))
     word = of_word[key % len(distinct)]
     with np.errstate(over="ignore"):
-        return np.array(rows, dtype=np.int64), sizes, _mixed(word + seen.astype(_U) * _U(0x9E3779B97F4A7C15)), _mixed(word + (seen >> 2).astype(_U) * _U(0xC2B2AE3D27D4EB4F))
+        return np.array(rows, dtype=np.int64), sizes, _mixed(word + seen.astype(_U) * _U(0x9E3779B97F4A7C15))
 
 
 def _slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
@@ -123,7 +132,7 @@ def _element_counts(least: int):
             return both[starts], np.add.reduceat(weight, starts)
 
         for batch in _slices(batches):
-            rows, _, element, _ = _elements(batch.column(0).to_pylist(), least)
+            rows, _, element = _elements(batch.column(0).to_pylist(), least)
             records += len(rows)
             parts.append(element)
             size += len(element)
@@ -184,15 +193,18 @@ def _records(least: int, num: int, den: int, lengths):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         length_of, met = lengths.value, set()
         for batch in _slices(batches):
-            rows, sizes, element, word = _elements(batch.column(1).to_pylist(), least)
+            rows, sizes, element = _elements(batch.column(1).to_pylist(), least)
             count, owner = len(rows), np.repeat(np.arange(len(rows)), sizes)
             starts = np.concatenate(([0], np.cumsum(sizes)))[:-1]
             if not count:
                 continue
             with np.errstate(over="ignore"):
                 prints = [np.add.reduceat(_mixed(element ^ _U(s)), starts).view(np.int64) for s in (0x51ED270B, 0xA24BAED4963EE407)]
-            counts = np.minimum(np.bincount(owner * 128 + (word >> _U(57)).astype(np.int64), minlength=count * 128), 15).astype(np.uint8).reshape(count, 128)
-            sketch = np.ascontiguousarray(counts[:, :64] | (counts[:, 64:] << 4)).view(np.int64)
+            odd = (np.bincount(owner * 512 + (element >> _U(55)).astype(np.int64), minlength=count * 512) & 1).astype(np.uint8).reshape(count, 512)
+            narrow = sizes < WIDE
+            odd[narrow, :256] ^= odd[narrow, 256:]
+            odd[narrow, 256:] = 0
+            sketch = np.packbits(odd, axis=1).view(np.int64)
             order = _by_length(owner, length_of(element), element)
             place = np.arange(len(order)) - np.repeat(starts, sizes)
             short = place < np.repeat(sizes - (num * sizes + den - 1) // den + MET, sizes)
@@ -251,14 +263,6 @@ def _listed(num: int, den: int, lengths):
     return run
 
 
-_LOW, _ONES = _U(0x0F0F0F0F0F0F0F0F), _U(0x0101010101010101)
-
-
-def _apart(p: np.ndarray, q: np.ndarray) -> np.ndarray:
-    """How far bytes of numbers up to 15 are apart, byte by byte."""
-    return np.abs(p.view(np.int8) - q.view(np.int8))
-
-
 def _met(num: int, den: int):
     """Merges the lists of a partition, sorted by list and size, into pairs and how often they met; ``least`` is how often a pair must meet."""
 
@@ -274,6 +278,77 @@ def _met(num: int, den: int):
         most = np.minimum(n[probe], np.maximum(left[probe] // num, 0))
         many = np.maximum(np.searchsorted(at, (group[probe] << 32) + most, "right") - low, 0)
         sketches = [x.view(_U) for x in sketches]
+        half = len(sketches) // 2
+        folded = [x ^ y for x, y in zip(sketches[:half], sketches[half:], strict=True)]
+        quarter = [x ^ y for x, y in zip(folded[: half // 2], folded[half // 2 :], strict=True)]
+
+        def similar(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            """Those of the pairs of entries that may be similar."""
+            keep = np.flatnonzero(left[a] >= num * n[b])
+            a, b = a[keep], b[keep]
+            keep = np.flatnonzero((n[a] < n[b]) | ((n[a] == n[b]) & (who[a] < who[b])))  # of records of one size, the smaller id is looked up
+            a, b = a[keep], b[keep]
+            whole = n[a] + n[b] - 2 * ((num * (n[a] + n[b]) + num + den - 1) // (num + den))
+            for words, wide in ((folded, False), (sketches, True)):
+                spare = whole
+                if wide:
+                    spare = np.where(n[a] >= WIDE, whole, 64 * len(words))
+                for x in words:  # most are out after the second
+                    spare = spare - np.bitwise_count(x[a] ^ x[b])
+                    keep = np.flatnonzero(spare >= 0)
+                    a, b, spare, whole = a[keep], b[keep], spare[keep], whole[keep]
+            return a, b
+
+        def counted(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+            x, y, least = who[a], who[b], np.minimum(MET, (num * (n[a] + n[b]) + num + den - 1) // (num + den))
+            order = np.lexsort((y, x))
+            x, y, least = x[order], y[order], least[order]
+            starts = np.flatnonzero(np.concatenate(([True], (x[1:] != x[:-1]) | (y[1:] != y[:-1]))))
+            return pa.RecordBatch.from_arrays([pa.array(x[starts]), pa.array(y[starts]), pa.array(np.diff(np.append(starts, len(x)))), pa.array(least[starts])], ["a", "b", "met", "least"])
+
+        def dense(own: np.ndarray, others: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+            """Pairs of ``own``, places in probe, with ``others``, places in index, each block's compared at once. Both are in order of size."""
+            bits, ones, total = (np.empty(_ROW * _COLUMN, kind) for kind in (_U, np.uint8, np.uint16))
+            sizes, first = n[index[others]], others[0]
+            edge = int(np.searchsorted(sizes, WIDE))
+            # probes of one row ask for about the same sizes
+            span = np.clip(8 * (most[own] * den - num * n[probe[own]]) // np.maximum(1, (den - num) * n[probe[own]]), 0, 8)
+            own = own[np.argsort(span, kind="stable")]
+            cuts = np.flatnonzero(np.diff(np.sort(span))) + 1
+            for part in np.split(own, cuts):
+                for row in (part[i : i + _ROW] for i in range(0, len(part), _ROW)):
+                    b = probe[row]
+                    largest = int(n[b].max())
+                    low_, high = int(low[row].min()) - first, int((low[row] + many[row]).max()) - first
+                    sides = [(low_, min(high, edge), folded), (max(low_, edge), high, sketches)] if int(n[b[0]]) >= WIDE else [(low_, high, folded)]
+                    for begin, end, words in sides:
+                        # as many words as tell records of that size apart
+                        words = quarter if largest < WIDE // 2 else words[: max(half, -(-largest // 60))]
+                        for i in range(begin, end, _COLUMN):
+                            a = index[others[i : min(end, i + _COLUMN)]]
+                            x, c, d = (v[: len(b) * len(a)].reshape(len(b), len(a)) for v in (bits, ones, total))
+                            d[:] = 0
+                            for w in words:
+                                np.bitwise_count(np.bitwise_xor(w[b][:, None], w[a], out=x), out=c)
+                                d += c
+                            near = np.flatnonzero(d <= np.minimum((den - num) * (n[a] + largest) // (num + den), 1 << 15).astype(np.uint16))
+                            if len(near):
+                                p, q = near // len(a), near % len(a)
+                                inside = np.flatnonzero((n[a[q]] * den >= num * n[b[p]]) & (n[a[q]] <= most[row[p]]))
+                                yield a[q[inside]], b[p[inside]]
+
+        of_probe, of_index = group[probe], group[index]
+        whole = np.bincount(of_probe, many, minlength=1)
+        large = np.flatnonzero(whole >= DENSE)
+        for g in large:
+            own = np.arange(*np.searchsorted(of_probe, (g, g + 1)))
+            others = np.arange(*np.searchsorted(of_index, (g, g + 1)))
+            for a, b in dense(own[many[own] > 0], others):
+                a, b = similar(a, b)
+                if len(a):
+                    yield counted(a, b)
+        few = np.flatnonzero(whole[of_probe] < DENSE)
+        probe, low, many = probe[few], low[few], many[few]
         ends = np.cumsum(many)
         start = 0
         while start < len(probe):
@@ -282,23 +357,9 @@ def _met(num: int, den: int):
             b = np.repeat(probe[start:stop], size)
             a = index[np.repeat(low[start:stop], size) + np.arange(len(b)) - np.repeat(np.cumsum(size) - size, size)]
             start = stop
-            keep = np.flatnonzero(left[a] >= np.repeat(num * n[probe[stop - len(size) : stop]], size))
-            a, b = a[keep], b[keep]
-            keep = np.flatnonzero((n[a] < n[b]) | (who[a] < who[b]))  # of records of one size, the smaller id is looked up
-            a, b = a[keep], b[keep]
-            need = (num * (n[a] + n[b]) + num + den - 1) // (num + den)
-            spare = n[a] + n[b] - 2 * need
-            for words in sketches:  # most are out after the first
-                p, q = words[a], words[b]
-                spare = spare - ((_apart(p & _LOW, q & _LOW) + _apart((p >> _U(4)) & _LOW, (q >> _U(4)) & _LOW)).view(_U) * _ONES >> _U(56)).view(np.int64)
-                keep = np.flatnonzero(spare >= 0)
-                a, b, spare = a[keep], b[keep], spare[keep]
+            a, b = similar(a, b)
             if len(a):
-                x, y, least = who[a], who[b], np.minimum(MET, (num * (n[a] + n[b]) + num + den - 1) // (num + den))
-                order = np.lexsort((y, x))
-                x, y, least = x[order], y[order], least[order]
-                starts = np.flatnonzero(np.concatenate(([True], (x[1:] != x[:-1]) | (y[1:] != y[:-1]))))
-                yield pa.RecordBatch.from_arrays([pa.array(x[starts]), pa.array(y[starts]), pa.array(np.diff(np.append(starts, len(x)))), pa.array(least[starts])], ["a", "b", "met", "least"])
+                yield counted(a, b)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list[np.ndarray]] = []
@@ -328,7 +389,7 @@ def _reaching(num: int, den: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _slices(batches):
             a, b = batch.column(2).to_pylist(), batch.column(3).to_pylist()
-            _, n, element, _ = _elements([t for pair in zip(a, b, strict=True) for t in pair], 0)
+            _, n, element = _elements([t for pair in zip(a, b, strict=True) for t in pair], 0)
             ends, kept = np.concatenate(([0], np.cumsum(n))), []
             for k in range(batch.num_rows):
                 x, y = np.sort(element[ends[2 * k] : ends[2 * k + 1]]), element[ends[2 * k + 1] : ends[2 * k + 2]]

@@ -1,8 +1,11 @@
 import random
+import time
 from collections import Counter
 from itertools import combinations
 from types import SimpleNamespace
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -116,6 +119,35 @@ def test_blocks_of_long_lists_lose_nothing(spark, monkeypatch):
         cloudpickle.unregister_pickle_by_value(neardup)
 
 
+def test_lists_of_many_pairs_lose_nothing(spark, monkeypatch):
+    from pyspark import cloudpickle
+
+    for name, value in (("DENSE", 1), ("_ROW", 4), ("_COLUMN", 8), ("WIDE", 40)):
+        monkeypatch.setattr(neardup, name, value)
+    cloudpickle.register_pickle_by_value(neardup)
+    try:
+        texts = edited_texts(4)
+        got = similar(spark, texts)
+        assert len(got) == len(set(got)) and set(got) == brute(texts)
+    finally:
+        cloudpickle.unregister_pickle_by_value(neardup)
+
+
+def test_a_comparison_in_a_long_list_is_a_few_instructions():
+    draw, count = np.random.default_rng(0), 12_000
+    entry = np.sort((draw.integers(220, 260, count) << 32) | (draw.integers(0, 20, count) << 2) | 3)
+    sketch = [pa.array(draw.integers(-(1 << 62), 1 << 62, count) if i < 4 else np.zeros(count, np.int64)) for i in range(8)]
+    rows = pa.RecordBatch.from_arrays([pa.array(np.zeros(count, np.int64)), pa.array(entry), pa.array(np.arange(count)), *sketch], ["list", "entry", "id", *neardup._SKETCH])
+    x, y = draw.integers(0, 1 << 62, (128, 1)), draw.integers(0, 1 << 62, (1, 1024))
+    began = time.process_time()
+    for _ in range(count * count // 2 // (128 * 1024)):
+        np.bitwise_count(x ^ y)
+    usual = time.process_time() - began
+    began = time.process_time()
+    assert not list(neardup._met(4, 5)(iter([rows])))
+    assert time.process_time() - began < 12 * usual
+
+
 def test_short_texts_need_fewer_meetings(spark):
     texts = ["a", "a", "a b", "a b c d", "a b c d e", "b", "", None, "d c b a e f", "a a a a a a a a a", "a a a a a a a a"]
     members, links = neardup.similar_classes(docs(spark, texts), "no", "text", least_words=1)
