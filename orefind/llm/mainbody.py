@@ -366,7 +366,8 @@ http://news.pond.example/notes/3.html?x=1
 +What the divers found under the ice in March was a sledge, two boots and a bell.
 """
 
-# The most widespread lines whose repetition on other sites is known to all executors: a bound on what is broadcast.
+# The most widespread lines whose repetition on other sites is known to all executors: a bound on what is broadcast. That of the
+# others is joined to the pages that hold them.
 KNOWN_LINES = 1 << 16
 # A site with more than this share of all pages is worked on in several parts; there are at most so many of them.
 PARTS = 4096
@@ -566,29 +567,44 @@ def site_lines(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     return counts.filter("line is not null"), counts.filter("line is null").select("site", F.col("pages").alias("whole"))
 
 
-def lines_elsewhere(counts: DataFrame, whole: DataFrame, least_sites: int = 3, most: int = KNOWN_LINES) -> DataFrame:
-    """line, share: on what share of a site's other pages a line stands, given that one page has it; the mean of its sites, large ones
-    counting more, up to 21 pages. Of the lines of ``least_sites`` sites the ``most`` widespread, a bounded vocabulary; ties by key."""
-    spread = counts.groupBy("line").agg(F.count("*").alias("sites")).filter(F.col("sites") >= least_sites).orderBy(F.desc("sites"), "line").limit(most).select("line")
-    own = counts.join(F.broadcast(spread), "line", "left_semi").join(whole.filter("whole > 1"), "site")
-    weight = F.least(F.col("whole") - 1, F.lit(20))
-    return own.groupBy("line").agg((F.sum(weight * (F.col("pages") - 1) / (F.col("whole") - 1)) / (F.sum(weight) + 2)).alias("share"))
+def lines_elsewhere(counts: DataFrame, whole: DataFrame, least_sites: int = 3) -> DataFrame:
+    """line, sites, share: of each line of ``least_sites`` sites or more, on what share of a site's other pages it stands, given that one
+    page has it; the mean of its sites, large ones counting more, up to 21 pages."""
+    weight = F.when(F.col("whole") > 1, F.least(F.col("whole") - 1, F.lit(20)))
+    own = counts.join(whole, "site").withColumn("weight", weight)
+    sums = own.groupBy("line").agg(F.count("*").alias("sites"), F.sum(F.col("weight") * (F.col("pages") - 1) / (F.col("whole") - 1)).alias("met"), F.sum("weight").alias("weight"))
+    return sums.filter((F.col("sites") >= least_sites) & F.col("weight").isNotNull()).select("line", "sites", (F.col("met") / (F.col("weight") + 2)).alias("share"))
+
+
+def _less_known(pages: DataFrame, spread: DataFrame, last: pa.Table) -> DataFrame:
+    """(print, known): the shares of those lines of each text that come behind the ``last`` one known to all, which a text has at most as many of as lines."""
+    sites, line = (last.column(c)[0].as_py() for c in ("sites", "line"))
+    rest = spread.filter((F.col("sites") < sites) | ((F.col("sites") == sites) & (F.col("line") > line))).select("line", "share")
+    lines = pages.select(_print(), _keys(F.col("text")).alias("keys")).dropDuplicates(["print"]).select("print", F.explode("keys").alias("line"))
+    return lines.join(rest, "line").groupBy("print").agg(F.collect_list(F.struct("line", "share")).alias("known"))
+
+
+def _print() -> Column:
+    return F.xxhash64("text", F.length("text")).alias("print")
 
 
 def _sorted_lines(elsewhere, as_text: bool):
-    """Rows of a partition sorted by site and part: first what a site repeats, then its pages."""
+    """Rows of a partition sorted by site and part: first what a site repeats, then its pages, before those of a text what is known of its less widespread lines."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tree, cues = trained()
         own_of = lru_cache(1 << 16)(lambda line: _one(line, cues))
         key_of = lru_cache(1 << 16)(_key)
-        known, site, counted, whole = elsewhere.value, None, {}, 1
+        known, site, counted, whole, noted, less = elsewhere.value, None, {}, 1, None, {}
         for batch in batches:
             of, sizes, numbers, kept, rows = [], [], [], [], []
-            for i, (at, text, url, repeats, n) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("site", "text", "url", "repeats", "whole")), strict=True)):
+            for i, (at, text, url, repeats, n, of_text, shares) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("site", "text", "url", "repeats", "whole", "print", "known")), strict=True)):
                 if n is not None:  # what a site repeats
                     site, whole, counted = at, n, {x["line"]: x["pages"] for x in repeats or ()}
                     continue
+                if shares is not None:
+                    noted, less = of_text, {x["line"]: x["share"] for x in shares}
+                    continue
                 if at != site:
                     site, whole, counted = at, 1, {}
                 raw = text.split("\n")
@@ -596,7 +612,8 @@ def _sorted_lines(elsewhere, as_text: bool):
                 if not lines:
                     continue
                 keys = [key_of(raw[n - 1]) for n, _ in lines]
-                rows.append(_features([t for _, t in lines], url, own_of, [_repeated(counted.get(k, 1), whole, known.get(k)) for k in keys]))
+                share_of = (lambda k: known.get(k, less.get(k))) if less and of_text == noted else known.get
+                rows.append(_features([t for _, t in lines], url, own_of, [_repeated(counted.get(k, 1), whole, share_of(k)) for k in keys]))
                 of.append(i)
                 sizes.append(len(lines))
                 numbers += [n for n, _ in lines]
@@ -620,8 +637,9 @@ def _judged(df: DataFrame, id_col: str, text_col: str, url_col: str, as_text: bo
     pages = df.select(F.col(f"`{id_col}`").alias("__id"), F.col(f"`{text_col}`").cast("string").alias("text"), F.col(f"`{url_col}`").cast("string").alias("url"))
     pages = pages.withColumn("site", _site(F.col("url"))).filter(F.col("site").isNotNull() & F.col("text").isNotNull())
     counts, whole = site_lines(pages)
-    known = lines_elsewhere(counts, whole).toArrow()  # at most KNOWN_LINES rows
-    elsewhere = df.sparkSession.sparkContext.broadcast(dict(zip(known.column(0).to_pylist(), known.column(1).to_pylist(), strict=True)))
+    spread = written(lines_elsewhere(counts, whole), "spread-lines")
+    known = spread.orderBy(F.desc("sites"), "line").limit(KNOWN_LINES).toArrow()
+    elsewhere = df.sparkSession.sparkContext.broadcast(dict(zip(known.column("line").to_pylist(), known.column("share").to_pylist(), strict=True)))
     # sites with a large share of all pages are worked on in parts: less than PARTS sites
     every = whole.agg(F.sum("whole").alias("every"))
     large = whole.join(F.broadcast(every), F.col("whole") * PARTS > F.col("every")).select("site", F.ceil(F.col("whole") * PARTS / F.col("every")).cast("int").alias("parts"))
@@ -630,10 +648,17 @@ def _judged(df: DataFrame, id_col: str, text_col: str, url_col: str, as_text: bo
     parts = F.coalesce("parts", F.lit(1))
     heads = repeats.join(F.broadcast(large), "site", "left").select("site", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"), F.lit(None).cast(kind).alias("__id"), F.lit(None).cast("string").alias("text"), F.lit(None).cast("string").alias("url"), "repeats", "whole")
     placed = pages.join(F.broadcast(large), "site", "left").withColumn("part", F.pmod(F.xxhash64("__id", "url", F.length("text")), parts).cast("int"))
-    rows = heads.unionByName(placed.drop("parts"), allowMissingColumns=True)
-    rows = rows.repartition("site", "part").sortWithinPartitions("site", "part", F.col("whole").desc_nulls_last())
+    no_text, none_known = F.lit(None).cast("bigint").alias("print"), F.lit(None).cast("array<struct<line: bigint, share: double>>").alias("known")
+    if known.num_rows < KNOWN_LINES:
+        rows = heads.unionByName(placed.drop("parts"), allowMissingColumns=True).select("*", no_text, none_known)
+        rows = rows.repartition("site", "part").sortWithinPartitions("site", "part", F.col("whole").desc_nulls_last())
+    else:
+        placed = placed.drop("parts").select("*", _print())
+        less = placed.select("site", "part", "print").distinct().join(_less_known(pages, spread, known.slice(known.num_rows - 1)), "print")
+        rows = heads.unionByName(placed, allowMissingColumns=True).select("*", none_known).unionByName(less, allowMissingColumns=True)
+        rows = rows.repartition("site", "part").sortWithinPartitions("site", "part", F.col("whole").desc_nulls_last(), "print", F.col("known").isNull())
     schema = f"__id {kind}, text string" if as_text else f"__id {kind}, line_no int, body boolean"
-    return rows.select("__id", "site", "text", "url", "repeats", "whole").mapInArrow(_sorted_lines(elsewhere, as_text), schema).withColumnRenamed("__id", id_col)
+    return rows.select("__id", "site", "text", "url", "repeats", "whole", "print", "known").mapInArrow(_sorted_lines(elsewhere, as_text), schema).withColumnRenamed("__id", id_col)
 
 
 def page_lines(df: DataFrame, id_col: str, text_col: str, url_col: str, least_share: float = 0.05) -> DataFrame:

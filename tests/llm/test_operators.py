@@ -436,6 +436,24 @@ http://zeit.example/reise/mit-dem-rad-durch-die-heide-12
 """
 
 
+def test_all_lines_of_several_sites_are_known(spark):
+    counts = spark.range(3 * 70_000).select(F.concat(F.lit("s"), F.col("id") % 3).alias("site"), F.floor(F.col("id") / 3).alias("line"), F.lit(6).cast("bigint").alias("pages"))
+    whole = spark.createDataFrame([(f"s{k}", 11) for k in range(3)], "site string, whole bigint")
+    assert mainbody.lines_elsewhere(counts, whole).agg(F.count("*"), F.min("share"), F.max("share")).first() == (70_000, 15 / 32, 15 / 32)
+
+
+def test_less_widespread_lines_count_as_well(spark, monkeypatch):
+    said = [f"Zorp {w} plim" for w in ("alpha", "beta", "gamma", "delta")]
+    rows = [(100 * k + i, "\n".join([*said, f"The lake of {chr(97 + k)}{chr(97 + i)} froze over in the night. Nobody crossed it before the morning came."]), f"http://s{k}.example/{i}") for k in range(3) for i in range(9)]
+    alone = "\n".join([*said, "The mill by the weir was sold in spring. Its wheel hasn't turned for a year, people say."])
+    df = spark.createDataFrame([*rows, (900, alone, "http://alone.example/"), (901, alone, "http://other.example/"), (901, alone, "http://other.example/")], "no bigint, text string, url string")
+    want = sorted(map(tuple, mainbody.page_lines(df, "no", "text", "url").collect()))
+    assert [b for n, _, b in want if n == 900] == [False] * 4 + [True]
+    for most in (1, 3, 4):
+        monkeypatch.setattr(mainbody, "KNOWN_LINES", most)
+        assert sorted(map(tuple, mainbody.page_lines(df, "no", "text", "url").collect())) == want
+
+
 def test_held_out_pages():
     """Pages of sites and with wording that the labelled table doesn't have, without anything repeated."""
     tree, cues = mainbody.trained()
